@@ -249,8 +249,7 @@ def train_test_split(spark, sf_dir):
 def land_by_event_date(spark, sf_dir):
     path = workspace.scratch(spark, "land")
     sinks.land_matches(image.match_documents(spark, sf_dir), path)
-    schema = schemas.MATCH
-    landed = spark.read.schema(schema.add("ds", "date")).json(path)
+    landed = documents.read_landed(spark, path, schemas.MATCH)
     return landed.select(
         F.col("metadata.matchId").alias("matchId"),
         "ds",
@@ -485,9 +484,8 @@ def run_gold_stream(spark, sf_dir) -> tuple[str, str]:
 @query
 def stream_gold(spark, sf_dir):
     path, _ = run_gold_stream(spark, sf_dir)
-    schema = schemas.record(**{f.name: f.dataType for f in schemas.GOLD_MESSAGE.fields})
-    schema = schema.add("event_time", "timestamp").add("ds", "date")
-    return spark.read.schema(schema).parquet(path).withColumn("event_time", zoneless(F.col("event_time")))
+    rows = spark.read.schema(schemas.GOLD_ROW).parquet(path)
+    return rows.withColumn("event_time", zoneless(F.col("event_time")))
 
 
 @query

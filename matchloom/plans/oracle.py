@@ -153,7 +153,7 @@ names AS (
   SELECT * FROM (VALUES {", ".join(
       f"({i}, '{n}', '{ROLE_OF.get(n, 'NONE')}', {str(n in DIF_NAMES).lower()})"
       for i, n in enumerate(FEATURES)
-  )}) t(number, feature, role, listed)
+  )}) t(number, feature, kw_role, listed)
 ),
 wide AS (
   SELECT "DS", "MATCHID", number, abs(sum(amount))::BIGINT AS weight FROM signed GROUP BY 1, 2, 3
@@ -162,7 +162,7 @@ roles AS (SELECT unnest(['TOP', 'JNG', 'MID', 'BOT', 'SUP']) AS "ROLE"),
 totals AS (SELECT "DS", "MATCHID", sum(weight)::BIGINT AS total FROM wide GROUP BY 1, 2),
 parts AS (
   SELECT t."DS", t."MATCHID", "ROLE", total,
-    coalesce(sum(weight) FILTER (WHERE role = "ROLE"), 0)::BIGINT AS part
+    coalesce(sum(weight) FILTER (WHERE kw_role = "ROLE"), 0)::BIGINT AS part
   FROM totals t CROSS JOIN roles
     JOIN wide w ON w."DS" = t."DS" AND w."MATCHID" = t."MATCHID" JOIN names USING (number)
   GROUP BY ALL
@@ -175,7 +175,7 @@ shares AS (
 
 LISTED = f"""{WIDE},
 listed AS (
-  SELECT "DS", "MATCHID", role, sum(weight)::BIGINT AS part
+  SELECT "DS", "MATCHID", kw_role, sum(weight)::BIGINT AS part
   FROM wide JOIN names USING (number) WHERE listed GROUP BY 1, 2, 3
 ),
 listed_totals AS (SELECT "DS", "MATCHID", sum(part)::DOUBLE AS total FROM listed GROUP BY 1, 2),
@@ -313,7 +313,7 @@ FROM w WHERE feature <> ''""",
     "role_daily_mean": f"""WITH {WIDE}
 SELECT "ROLE", round(avg("CONTRIB_BP"), 2) AS "MEAN_PCT" FROM shares GROUP BY 1""",
     "role_share_listed": f"""WITH {LISTED}
-SELECT role AS "ROLE",
+SELECT kw_role AS "ROLE",
   round(sum(coalesce(part::DOUBLE / nullif(total, 0), 0)) / (SELECT n FROM row_count) * 100, 2) AS "MEAN_PCT"
 FROM listed JOIN listed_totals USING ("DS", "MATCHID") GROUP BY 1""",
     "topk_features": f"""WITH {IMPORTANCE}

@@ -75,6 +75,15 @@ GOLD_MESSAGE = record(
     eventTs=LONG,
 )
 
+# A stored message: its fields, the event time and the partition date.
+GOLD_ROW = T.StructType(
+    [
+        *GOLD_MESSAGE.fields,
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("ds", T.DateType()),
+    ]
+)
+
 LEAGUE = record(entries=T.ArrayType(record(puuid=STRING)))
 
 PLAYER_MATCH = record(puuid=STRING, startTs=LONG, matchId=STRING)

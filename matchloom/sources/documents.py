@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import ArrayType, StructType
 
-from matchloom import schemas
+from matchloom import schemas, workspace
 from matchloom.functions.text import partition_value
 
+DS = T.StructField("ds", T.DateType())
+LISTERS = "64"
+
 
 def read_json(
     spark: SparkSession, path: str | list[str], schema: StructType, *, multi_line: bool = True
@@ -53,6 +57,17 @@ def day_glob(root: str, ds: str) -> str:
     return f"{root.rstrip('/')}/ds={ds}/*.json"
 
 
+def read_landed(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """JSON Lines landed below ``ds=`` folders, with ``ds`` as a date.
+
+    Folders are listed by a fixed number of tasks, not by one task per day.
+    """
+    with workspace.conf(
+        spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=LISTERS
+    ):
+        return spark.read.schema(T.StructType([*schema.fields, DS])).json(root)
+
+
 def read_league(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Players of a league list, one row per entry."""
     return league_players(read_json(spark, path, schemas.LEAGUE, multi_line=multi_line))
