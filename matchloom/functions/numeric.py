@@ -36,4 +36,4 @@ def rounded_ratio(part: Column, total: Column, scale: int) -> Column:
 
 def cents(amount: Column) -> Column:
     """Money as an integer, so that no order of addition can change a sum."""
-    return F.round(amount * 100).cast("long")
+    return F.rint(amount * 100).cast("long")

@@ -62,13 +62,17 @@ def replay_delay(
     unique integer column. ``offset_ms`` sums the gaps before the row's own.
 
     Two levels instead of one window per key: inside a bucket of the order, then
-    over the buckets' edges. See ``BUCKET``. Keys must not be null.
+    over the buckets' edges. See ``BUCKET``. Rows without key or order are left out.
     """
     part = F.call_function("div", F.col(order), F.lit(bucket))
     inside = Window.partitionBy(key, "_bucket").orderBy(order)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    # Stated here, and not left to the join below to infer for one side only, so that
+    # both uses of these rows are the same shuffle.
+    known = F.col(key).isNotNull() & F.col(order).isNotNull()
     inner = (
-        rows.withColumn("_bucket", part)
+        rows.where(known)
+        .withColumn("_bucket", part)
         .withColumn("_prev", F.lag(stamp).over(inside))
         .withColumn("_opens", F.row_number().over(inside) == 1)
         .withColumn("_gap", F.when(F.col("_opens"), 0).otherwise(gap(F.col(stamp), F.col("_prev"))))

@@ -247,8 +247,15 @@ def train_test_split(spark, sf_dir):
 
 @query
 def land_by_event_date(spark, sf_dir):
+    """Starts are moved to the first of their month: a day has only a few orders here,
+    and a folder per day would be nothing but small files."""
     path = workspace.scratch(spark, "land")
-    sinks.land_matches(image.match_documents(spark, sf_dir), path)
+    start = F.col("info.gameStartTimestamp")
+    first = epoch_millis(month(time.utc_date(start)).cast("timestamp_ntz"))
+    matches = image.match_documents(spark, sf_dir)
+    sinks.land_matches(
+        matches.withColumn("info", F.col("info").withField("gameStartTimestamp", first)), path
+    )
     landed = documents.read_landed(spark, path, schemas.MATCH)
     return landed.select(
         F.col("metadata.matchId").alias("matchId"),
@@ -557,7 +564,8 @@ SMALL = {"maxIter": 8, "maxDepth": 4}
 def model_matches(spark, sf_dir):
     """Differences, with 0 where neither side has the position."""
     matches = features.match_features(image.players(spark, sf_dir))
-    return matches.na.fill(0.0, selection.columns_like(matches))
+    filled = matches.na.fill(0.0, selection.columns_like(matches))
+    return workspace.stored(filled, "matches")
 
 
 @query
@@ -582,7 +590,7 @@ def ml_role_influence(spark, sf_dir):
 @query
 def ml_top_features_all(spark, sf_dir):
     players = features.player_features(image.players(spark, sf_dir))
-    return influence.top_features_all(players, **SMALL)
+    return influence.top_features_all(workspace.stored(players, "players"), **SMALL)
 
 
 @query
@@ -590,4 +598,4 @@ def ml_top_features_role(spark, sf_dir):
     players = features.with_position_labels(
         features.player_features(image.players(spark, sf_dir))
     )
-    return influence.top_features_per_position(players, **SMALL)
+    return influence.top_features_per_position(workspace.stored(players, "players"), **SMALL)

@@ -39,8 +39,8 @@ def match_id(key: Column) -> Column:
 
 def slots(lineitem: DataFrame) -> DataFrame:
     """Statistics per order and slot: at most ten rows per order."""
-    price, percent = cents(F.col("l_extendedprice")), F.round(F.col("l_discount") * 100)
-    tax = F.round(F.col("l_tax") * 100)
+    price, percent = cents(F.col("l_extendedprice")), F.rint(F.col("l_discount") * 100)
+    tax = F.rint(F.col("l_tax") * 100)
     flag = F.col("l_returnflag")
     position_no = F.pmod(F.col("l_linenumber") - 1, F.lit(5))
     blue = F.col("l_linestatus") == "F"

@@ -271,7 +271,7 @@ SELECT o_orderkey, CASE WHEN ((o_orderkey + 29) % 2147483647 * 48271) % 21474836
   THEN 'test' ELSE 'train' END AS fold
 FROM orders""",
     "land_by_event_date": f"""WITH {SLOTS}
-SELECT 'M_' || o_orderkey AS "matchId", o_orderdate::DATE AS ds,
+SELECT 'M_' || o_orderkey AS "matchId", date_trunc('month', o_orderdate)::DATE AS ds,
   (SELECT count(*) FROM slots WHERE l_orderkey = o_orderkey)::INTEGER AS participants
 FROM orders""",
     "path_ds_load": "SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS ds FROM orders",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from matchloom import domain
+from matchloom import domain, workspace
 from matchloom.functions.time import utc_date
+from matchloom.sources.documents import read_landed
 
 
 def balanced(rows: DataFrame, *by: str) -> DataFrame:
@@ -62,6 +65,30 @@ def land_matches(matches: DataFrame, path: str) -> None:
     land_json(with_event_date(matches), path)
 
 
+def merge_documents(
+    dated: DataFrame, path: str, schema: StructType
+) -> list[dt.date]:
+    """Add dated documents to the landed ones and return the days they belong to.
+
+    Documents of these days that are already there stay unless a new one has
+    their match id, so a late match doesn't replace its day.
+    """
+    spark = dated.sparkSession
+    fresh = workspace.stored(dated, "landing")
+    days = sorted(row["ds"] for row in fresh.select("ds").distinct().collect())
+    if not days:
+        return days
+    merged = fresh
+    if workspace.exists(spark, path):
+        ids = fresh.select(F.col("metadata.matchId").alias("_id"))
+        landed = read_landed(spark, path, schema).where(F.col("ds").isin(days))
+        others = landed.join(ids, F.col("metadata.matchId") == F.col("_id"), "left_anti")
+        # Stored first: the write below replaces the folders this reads.
+        merged = workspace.stored(fresh.unionByName(others.select(*fresh.columns)), "merged")
+    land_json(merged, path)
+    return days
+
+
 def land_timelines(timelines: DataFrame, path: str, ds: str) -> None:
     """Land timeline documents, which hold no wall-clock time, by the given date."""
     land_json(timelines.withColumn("ds", F.lit(ds).cast("date")), path)

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
@@ -27,17 +27,38 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object of a path."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop_path.getFileSystem(configuration), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/matchloom-{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = file_system(spark, path)
     fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
     return path
 
 
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Write rows to a table in the shared folder and read them back.
+
+    For rows that many jobs read: they are computed once, their lineage is cut,
+    and losing an executor costs a re-read.
+    """
+    path = scratch(rows.sparkSession, label)
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 @contextmanager
 def conf(spark: SparkSession, **settings: str):
     """Session settings for the time of a block; ``__`` in a name stands for a dot."""

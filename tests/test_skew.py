@@ -1,0 +1,87 @@
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from matchloom.operators import replay, skew
+from tests.conftest import rows
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of all rows has one key and the same values; spread over 6 partitions."""
+    numbers = spark.range(0, 3000, 1, 6)
+    key = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 97)
+    value = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 11)
+    return numbers.select(key.alias("key"), value.alias("value"), "id")
+
+
+@pytest.mark.parametrize("hot_rows", [0, 5, 25, 500, 10**6])
+@pytest.mark.parametrize("broadcast", ["-1", "10485760"])
+def test_group_totals_equal_a_window(spark, skewed, hot_rows, broadcast):
+    data = skewed.select("key", "value")
+    over = Window.partitionBy("key")
+    expected = data.select(
+        "*", F.sum("value").over(over).alias("total"), F.max("value").over(over).alias("top")
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        made = skew.with_group_totals(
+            data, ["key"], {"total": F.sum("value"), "top": F.max("value")}, hot_rows
+        )
+        assert rows(made) == rows(expected)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_rows_reach_several_tasks(spark, skewed):
+    from matchloom import workspace
+
+    with workspace.conf(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+    ):
+        made = skew.with_group_totals(
+            skewed.select("key", "value"), ["key"], {"total": F.sum("value")}, 500
+        )
+        parts = made.where("key = -1").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1
+
+
+@pytest.mark.parametrize("hot_rows", [5, 10**6])
+def test_large_groups(skewed, hot_rows):
+    kept = skew.large_groups(skewed.select("key", "id"), ["key"], 21, hot_rows)
+    sizes = {r["key"]: r["n"] for r in skew.group_sizes(skewed, ["key"], 21).collect()}
+    assert all(n >= 21 for n in sizes.values()) and sizes[-1] == 1000
+    assert kept.columns == ["key", "id"]
+    assert kept.count() == sum(sizes.values())
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 100, 5000])
+def test_replay_delay_equals_plain_windows(skewed, bucket):
+    # Stamps go back now and then: a gap is never negative.
+    data = skewed.select("key", "id", ((F.col("id") * 7919) % 1000 + F.col("id") * 10).alias("ms"))
+    order = Window.partitionBy("key").orderBy("id")
+    gap = F.greatest(F.lit(0), F.col("ms") - F.lag("ms", 1, 0).over(order))
+    expected = data.withColumn("gap_ms", gap).withColumn(
+        "offset_ms",
+        F.coalesce(
+            F.sum("gap_ms").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ),
+    )
+    made = replay.replay_delay(data, "key", "id", "ms", speed=60, bucket=bucket)
+    assert rows(made, *expected.columns) == rows(expected)
+    one = made.where("gap_ms = 600").first()
+    assert one is None or one["delay_s"] == pytest.approx(0.01)
+
+
+def test_schedule_sends_a_frame_after_the_gaps_before_it(spark):
+    from matchloom import schemas
+
+    frames = [(0, None), (60000, None), (30000, None), (180000, None)]
+    found = spark.createDataFrame([((("M_1"),), (frames,))], schemas.TIMELINE)
+    made = replay.replay_schedule(found, speed=60).orderBy("frame_no").collect()
+    assert [r.gap_ms for r in made] == [0, 60000, 0, 150000]
+    assert [r.send_at_s for r in made] == [0, 0, 1.0, 1.0]
+    assert [r.delay_s for r in made] == [0, 1.0, 0, 2.5]
