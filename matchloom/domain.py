@@ -64,7 +64,7 @@ LISTED_FEATURES = {
 }
 
 UNKNOWN_MATCH = "UNKNOWN_MATCH"
-FRAME_TOPIC = "lol.timeline.frames"
+FRAME_TOPIC = "timeline.frames"
 
 # Endings taken off an account host.
 HOST_ENDINGS = (".snowflakecomputing.com", ".aws")

@@ -83,9 +83,20 @@ def drop_incomplete(rows: DataFrame, columns: Sequence[str] | None = None) -> Da
     Written as one test per column, not as ``na.drop``: Catalyst turns these
     into scan filters and an outer join below them into an inner one.
     """
+    return rows.where(complete_row(rows, columns))
+
+
+def completeness(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """How many rows training uses and how many it leaves out; scoring uses them all."""
+    complete = complete_row(rows, columns)
+    return rows.agg(
+        F.count_if(complete).alias("complete"), F.count_if(~complete).alias("incomplete")
+    )
+
+
+def complete_row(rows: DataFrame, columns: Sequence[str] | None = None) -> Column:
     wanted = rows.columns if columns is None else columns
-    complete = [complete_value(rows, name) for name in wanted]
-    return rows.where(reduce(lambda a, b: a & b, complete))
+    return reduce(lambda a, b: a & b, [complete_value(rows, name) for name in wanted])
 
 
 def complete_value(rows: DataFrame, name: str) -> Column:

@@ -105,12 +105,14 @@ def ensure_role_table(spark: SparkSession, name: str, location: str | None = Non
 
 
 def replace_table_day(rows: DataFrame, name: str) -> None:
-    """Replace in a catalog table the days that occur in ``rows``."""
+    """Replace in a catalog table the days that occur in ``rows``.
+
+    An insert takes the mode from the session only, so it is set around it.
+    """
     spark = rows.sparkSession
     ordered = rows.select(*spark.table(name).columns)
-    balanced(ordered, "DS").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).insertInto(name)
+    with workspace.conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        balanced(ordered, "DS").write.insertInto(name, overwrite=True)
 
 
 def publish(messages: DataFrame, servers: str, topic: str = domain.FRAME_TOPIC) -> None:

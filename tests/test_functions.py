@@ -102,6 +102,7 @@ def test_drop_incomplete(spark):
     assert rows(selection.drop_incomplete(data)) == [(1, 1.0)]
     assert rows(data.na.drop("any")) == [(1, 1.0)]
     assert rows(selection.drop_incomplete(data, ["a"]), "a") == [(1,), (2,), (3,)]
+    assert rows(selection.completeness(data)) == [(1, 3)]
 
 
 def test_column_choices(spark):
