@@ -119,7 +119,7 @@ def shap_values(
         (
             used,
             [[(number[t], left) for t, left, _ in path if t.feature == f] for f in used],
-            phi,
+            np.ascontiguousarray(phi.T),
         )
         for path, used, phi in tables
     ]
@@ -138,15 +138,16 @@ def shap_values(
             right = [~side for side in left]
             phi = np.zeros((width, size))
             for used, conditions, table in compiled:
-                pattern = np.zeros(size, dtype=np.intp)
+                pattern = np.zeros(size, dtype=np.uint64 if len(used) > 8 else np.uint8)
                 for bit, needed in enumerate(conditions):
                     passed = None
                     for test, goes_left in needed:
                         side = left[test] if goes_left else right[test]
                         passed = side if passed is None else passed & side
-                    pattern |= passed.astype(np.intp) << bit
+                    pattern |= passed.astype(pattern.dtype) << pattern.dtype.type(bit)
+                outcome = pattern.astype(np.intp)
                 for bit, feature in enumerate(used):
-                    phi[feature] += table[:, bit][pattern]
+                    phi[feature] += table[bit][outcome]
             offsets = pa.array(np.arange(size + 1, dtype=np.int32) * width)
             values = pa.ListArray.from_arrays(offsets, pa.array(phi.T.reshape(-1)))
             yield pa.RecordBatch.from_arrays(

@@ -39,34 +39,28 @@ def match_id(key: Column) -> Column:
 
 def slots(lineitem: DataFrame) -> DataFrame:
     """Statistics per order and slot: at most ten rows per order."""
-    price, percent = cents(F.col("l_extendedprice")), F.rint(F.col("l_discount") * 100)
-    tax = F.rint(F.col("l_tax") * 100)
-    flag = F.col("l_returnflag")
-    position_no = F.pmod(F.col("l_linenumber") - 1, F.lit(5))
-    blue = F.col("l_linestatus") == "F"
-
-    def times(condition: Column) -> Column:
-        return F.sum(F.when(condition, 1).otherwise(0)).cast("long")
-
-    return lineitem.groupBy(
-        "l_orderkey",
-        (position_no + 1 + F.when(blue, 0).otherwise(5)).cast("int").alias("participantId"),
-    ).agg(
-        F.sum(F.col("l_quantity").cast("long")).alias("kills"),
-        F.count(F.lit(1)).alias("assists"),
-        F.sum(price).alias("goldEarned"),
-        F.sum(price * percent.cast("long")).alias("totalDamageDealtToChampions"),
-        F.sum(tax.cast("long")).alias("visionScore"),
-        F.sum(F.col("l_suppkey") % 10).alias("wardsPlaced"),
-        F.sum(F.col("l_partkey") % 60).alias("timeCCingOthers"),
-        times(flag == "R").alias("dragonKills"),
-        times(flag == "A").alias("baronKills"),
-        F.sum(F.col("l_linenumber").cast("long")).alias("soloKills"),
-        times(flag == "N").alias("turretPlatesTaken"),
-        times(F.col("l_discount") >= F.lit(0.05)).alias("riftHeraldTakedowns"),
-        F.sum(F.col("l_quantity").cast("long") * tax.cast("long"))
-        .cast("double")
-        .alias("effectiveHealAndShielding"),
+    price = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+    percent = "CAST(rint(l_discount * 100) AS BIGINT)"
+    tax = "CAST(rint(l_tax * 100) AS BIGINT)"
+    quantity = "CAST(l_quantity AS BIGINT)"
+    sums = {
+        "kills": quantity,
+        "assists": "1L",
+        "goldEarned": price,
+        "totalDamageDealtToChampions": f"{price} * {percent}",
+        "visionScore": tax,
+        "wardsPlaced": "l_suppkey % 10",
+        "timeCCingOthers": "l_partkey % 60",
+        "dragonKills": "IF(l_returnflag = 'R', 1L, 0L)",
+        "baronKills": "IF(l_returnflag = 'A', 1L, 0L)",
+        "soloKills": "CAST(l_linenumber AS BIGINT)",
+        "turretPlatesTaken": "IF(l_returnflag = 'N', 1L, 0L)",
+        "riftHeraldTakedowns": "IF(l_discount >= 0.05D, 1L, 0L)",
+    }
+    slot = "CAST(pmod(l_linenumber - 1, 5) + 1 + IF(l_linestatus = 'F', 0, 5) AS INT)"
+    return lineitem.groupBy("l_orderkey", F.expr(slot).alias("participantId")).agg(
+        *[F.expr(f"sum({value}) AS {name}") for name, value in sums.items()],
+        F.expr(f"CAST(sum({quantity} * {tax}) AS DOUBLE) AS effectiveHealAndShielding"),
     )
 
 
@@ -175,15 +169,14 @@ def timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", F.floor(F.col("ms") / WEEK_MS).alias("week")
     ).agg(
         F.max("ms").alias("timestamp"),
-        *[F.sum(F.when(F.col("pid") == int(k), F.col("cents"))).alias(f"p{k}") for k in keys],
+        *[F.expr(f"sum(IF(pid = {k}, cents, NULL)) AS p{k}") for k in keys],
     )
-    entries = F.array(
-        *[
-            F.struct(F.lit(k).alias("key"), F.struct(F.col(f"p{k}").alias("totalGold")).alias("value"))
-            for k in keys
-        ]
+    entries = ", ".join(
+        f"struct('{k}' AS key, named_struct('totalGold', p{k}) AS value)" for k in keys
+    )
+    there = F.expr(
+        f"map_from_entries(filter(array({entries}), e -> e.value.totalGold IS NOT NULL))"
     )
-    there = F.map_from_entries(F.filter(entries, lambda e: e["value"]["totalGold"].isNotNull()))
     framed = weeks.select(
         "user_id", "week", F.struct("timestamp", there.alias("participantFrames")).alias("frame")
     )
@@ -241,7 +234,7 @@ def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.groupBy("DS", "MATCHID").agg(
         *[
-            F.sum(F.when(F.col("number") == i, F.col("amount")).otherwise(0)).alias(name)
+            F.expr(f"sum(IF(number = {i}, amount, 0)) AS {name}")
             for i, name in enumerate(CONTRIBUTION_FEATURES)
         ]
     )
