@@ -139,13 +139,10 @@ def variant_get(spark, sf_dir):
 
 @query
 def entity_list(spark, sf_dir):
-    """The first ten players of league lists of a hundred entries each."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey")
-    lists = customers.groupBy(F.floor(F.col("c_custkey") / 100).alias("part")).agg(
-        F.collect_list(F.struct(F.format_string("P_%09d", "c_custkey").alias("puuid"))).alias("entries")
-    )
-    players = documents.league_players(lists)
-    return selection.first_players(players, "puuid", 10)
+    """The first ten players of league lists, a list per customer."""
+    entry = F.struct(F.format_string("P_%09d", "c_custkey").alias("puuid"))
+    lists = table(spark, sf_dir, "customer").select(F.array(entry).alias("entries"))
+    return selection.first_players(documents.league_players(lists), "puuid", 10)
 
 
 @query

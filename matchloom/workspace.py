@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SHARED_DIR} to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="matchloom-")
-    spark.conf.set(SHARED_DIR, base)
-    return base
+    return local_dir().name
+
+
+@cache
+def local_dir() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="matchloom-", ignore_cleanup_errors=True)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -83,6 +87,9 @@ def session(app: str, **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # HotSpot interprets methods above 8000 bytes. Wide aggregations give such ones,
+        # and run faster without whole-stage code than with code that isn't compiled.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Recording the call site of each column made costs more than making it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
