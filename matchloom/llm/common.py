@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +23,33 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds at most ``most`` bytes of text, or one row."""
+    """Batches cut so that each holds about ``most`` bytes of text, or one row."""
     for batch in batches:
-        lengths = batch.column(text).cast(pa.large_string()).to_numpy(zero_copy_only=False)
-        begin, held = 0, 0
-        for row, value in enumerate(lengths):
-            size = len(value) if value is not None else 0
-            if row > begin and held + size > most:
-                yield batch.slice(begin, row - begin)
-                begin, held = row, 0
-            held += size
-        if batch.num_rows > begin:
-            yield batch.slice(begin)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths)
+        begin = 0
+        while begin < batch.num_rows:
+            before = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """A column name that ``rows`` does not have, ignoring case."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Most rows of 64-bit ids that are broadcast; 8 bytes each and about 60 in a hash table.
+BROADCAST_IDS = 1_000_000
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """A one-column table of ids, with the broadcast hint if its counted rows are few enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def byte_size(text: Column) -> Column:

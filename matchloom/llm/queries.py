@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm import decontaminate, host_rules, shards, url_filter
+from matchloom.llm import (
+    decontaminate,
+    host_rules,
+    neighbour_vote,
+    setsketch,
+    shards,
+    url_filter,
+)
 from matchloom.llm.common import table
 
 #: The rules that the URL query is given (fixed values).
@@ -27,6 +34,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = neighbour_vote.train(docs, table(spark, sf_dir, "labels"))
+    return neighbour_vote.score(docs, model).select(
+        "doc_id",
+        neighbour_vote.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= neighbour_vote.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign(table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
@@ -52,6 +74,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_decontaminate": op2_decontaminate,
+    "op4_setsketch": op4_setsketch,
+    "op7_neighbour_vote": op7_neighbour_vote,
     "op8_shards": op8_shards,
     "op10_url_filter": op10_url_filter,
 }

@@ -88,6 +88,29 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_h
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sh AS (
+  SELECT DISTINCT rid, doc_id, array_to_string(ws[i : i + least(5, len(ws)) - 1], ' ') AS s FROM (
+    SELECT rid, doc_id, ws, unnest(generate_series(1, len(ws) - least(5, len(ws)) + 1)) AS i FROM d WHERE len(ws) > 0)
+), n AS (
+  SELECT rid, doc_id, count(*) AS n FROM sh GROUP BY rid, doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM (
+    SELECT p.rid AS r1, q.rid AS r2, count(*) AS m FROM sh p JOIN sh q ON p.s = q.s AND p.rid <> q.rid GROUP BY 1, 2)
+  JOIN n x ON x.rid = r1 JOIN n y ON y.rid = r2 WHERE 100 * m >= 75 * (x.n + y.n - m)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (rid) LEFT JOIN c ON c.doc_id = d.doc_id
+"""
+
 # DuckDB has no CRC-32, so the checksum is the polynomial division written out as table steps.
 SHARDS = r"""
 WITH RECURSIVE tab(i, v, k) AS (
@@ -153,6 +176,7 @@ FROM r
 SQL = {
     "op1_host_rules": HOST_RULES,
     "op2_decontaminate": DECONTAMINATE,
+    "op4_setsketch": NEAR_DUPLICATES,
     "op8_shards": SHARDS,
     "op10_url_filter": URL_FILTER,
 }
