@@ -11,6 +11,7 @@ from matchloom.llm import (
     neighbour_vote,
     setsketch,
     shards,
+    suffix_dedup,
     url_filter,
 )
 from matchloom.llm.common import table
@@ -38,6 +39,10 @@ def op4_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = neighbour_vote.train(docs, table(spark, sf_dir, "labels"))
@@ -75,6 +80,7 @@ QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_decontaminate": op2_decontaminate,
     "op4_setsketch": op4_setsketch,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_neighbour_vote": op7_neighbour_vote,
     "op8_shards": op8_shards,
     "op10_url_filter": op10_url_filter,
