@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from matchloom.llm import (
     decontaminate,
     host_rules,
+    line_dedup,
     neighbour_vote,
+    raking,
+    revisits,
     setsketch,
     shards,
     suffix_dedup,
@@ -35,6 +38,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.without_boilerplate(docs).select(
+        "doc_id", "n_lines", "n_removed", F.md5("text").alias("clean_md5")
+    )
+
+
 def op4_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,6 +53,39 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def section_captures(pages: DataFrame) -> DataFrame:
+    """A crawl log of site sections from the pages, in the order of their numbers.
+
+    A page is a capture of its section. A URL with parameters or a fragment is a repeated visit that got
+    a 304 answer; others got the whole page. The section's entity tag changes with the page's size.
+    """
+    section = F.regexp_replace(url_filter.canonical(F.col("url")), r"(?s)/[0-9]+.*$", "")
+    tag = F.concat(F.lit('"'), F.md5(F.concat(section, F.lit(":"), (F.octet_length("html") % 3).cast("string"))), F.lit('"'))
+    again = F.col("url").rlike("[?#]")
+    date = F.col("page_id").cast("string")
+    return pages.select(
+        F.col("page_id").alias("id"),
+        section.alias("canon"),
+        F.col("page_id").alias("time"),
+        F.when(again, "revisit").otherwise("response").alias("kind"),
+        F.when(~again, F.md5("html")).alias("digest"),
+        F.when(again, F.create_map(F.lit("content-length"), F.lit("0"), F.lit("date"), date, F.lit("etag"), F.concat(F.lit("W/"), tag)))
+        .otherwise(F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("date"), date, F.lit("etag"), tag))
+        .alias("headers"),
+        F.when(~again, F.col("html")).alias("body"),
+    )
+
+
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve(section_captures(table(spark, sf_dir, "pages").where("page_id is not null")))
+    lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.select(
+        F.col("id").alias("page_id"), "kind", "response_id", "verdict",
+        F.array_join(F.array_sort(lines), "\n").alias("headers"),
+        F.octet_length("body").cast("long").alias("body_bytes"),
+    )
+
+
 def op7_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = neighbour_vote.train(docs, table(spark, sf_dir, "labels"))
@@ -62,6 +105,12 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raking.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_tokens", "topic", F.round("probability", 6).alias("probability"), "sampled"
+    )
+
+
 def toxic_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """The block list: canonical URLs of pages whose document (the number in the path) is toxic."""
     number = F.regexp_extract(url_filter.path_of(F.col("url")), r"/([0-9]{1,18})", 1)
@@ -79,9 +128,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_decontaminate": op2_decontaminate,
+    "op3_line_dedup": op3_line_dedup,
     "op4_setsketch": op4_setsketch,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_revisits": op6_revisits,
     "op7_neighbour_vote": op7_neighbour_vote,
     "op8_shards": op8_shards,
+    "op9_raking": op9_raking,
     "op10_url_filter": op10_url_filter,
 }

@@ -88,6 +88,26 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_h
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)
 """
 
+LINE_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents
+), i AS (
+  SELECT rid, source, ls, unnest(generate_series(1, len(ls))) AS i FROM d WHERE text IS NOT NULL
+), l AS (
+  SELECT rid, source, i, ls[i] AS line FROM i
+), gone AS (
+  SELECT line FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line
+  HAVING count(DISTINCT coalesce('=' || source, 'null')) >= 10
+), c AS (
+  SELECT rid, count(*) AS n_lines, count(gone.line) AS n_removed,
+    coalesce(string_agg(l.line, chr(10) ORDER BY i) FILTER (gone.line IS NULL), '') AS clean
+  FROM l LEFT JOIN gone ON l.line = gone.line GROUP BY rid
+)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  md5(clean) AS clean_md5
+FROM d LEFT JOIN c USING (rid)
+"""
+
 NEAR_DUPLICATES = r"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS rid, doc_id,
@@ -149,10 +169,77 @@ FROM (
     SELECT *, coalesce(translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
       coalesce(regexp_extract(rest, '(?s)^[^/?#]*(/[^?#]*)', 1), '') AS path
-    FROM (SELECT page_id, url,
+    FROM (SELECT page_id, url, html,
         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages)))
 """
 
+REVISITS = rf"""
+WITH p AS ({CANONICAL}), c AS (
+  SELECT page_id, html, regexp_replace(canon, '(?s)/[0-9]+.*$', '') AS section, regexp_matches(url, '[?#]') AS again,
+    octet_length(encode(html)) % 3 AS version FROM p
+), t AS (
+  SELECT *, '"' || md5(section || ':' || version) || '"' AS tag FROM c
+), s AS (
+  SELECT *, CASE WHEN again AND section IS NOT NULL THEN last_value(CASE WHEN NOT again THEN page_id END IGNORE NULLS) OVER (
+    PARTITION BY section ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS response_id FROM t
+), j AS (
+  SELECT s.page_id, s.again, s.response_id, s.page_id AS date, s.tag, s.html, r.tag AS rtag, r.html AS rhtml,
+    CASE WHEN NOT s.again THEN 'full' WHEN s.response_id IS NULL THEN 'orphan'
+      WHEN s.tag = r.tag THEN 'resolved' ELSE 'mismatch' END AS verdict
+  FROM s LEFT JOIN t r ON r.page_id = s.response_id
+)
+SELECT page_id, CASE WHEN again THEN 'revisit' ELSE 'response' END AS kind,
+  CASE WHEN again THEN response_id ELSE page_id END AS response_id, verdict,
+  CASE verdict WHEN 'full' THEN 'content-type: text/html' || chr(10) || 'date: ' || date || chr(10) || 'etag: ' || tag
+    WHEN 'resolved' THEN 'content-type: text/html' || chr(10) || 'date: ' || date || chr(10) || 'etag: W/' || tag
+    ELSE 'content-length: 0' || chr(10) || 'date: ' || date || chr(10) || 'etag: W/' || tag END AS headers,
+  CASE verdict WHEN 'full' THEN octet_length(encode(html)) WHEN 'resolved' THEN octet_length(encode(rhtml)) END::BIGINT AS body_bytes
+FROM j
+"""
+
+# Raking by a recursion that fits the three marginals in turn; then the cells that are kept whole, by
+# tokens for each unit of weight, and the scale for the others.
+RAKING = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || source, 'null') AS source, coalesce('=' || lang, 'null') AS lang, text,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n,
+    len(string_split(text, chr(10))) AS lines FROM documents
+), m AS (
+  SELECT *, CASE WHEN text IS NULL OR n = 0 THEN 'none' WHEN n < 60 THEN 'note' WHEN n < 12 * lines THEN 'list'
+    WHEN n >= 1000 THEN 'long' ELSE 'prose' END AS topic FROM d
+), cells AS (
+  SELECT source, lang, topic, sum(n)::DOUBLE AS t FROM m WHERE n > 0 GROUP BY ALL
+), sw AS (
+  SELECT source, pow(sum(t), 0.5) / sum(pow(sum(t), 0.5)) OVER () AS share FROM cells GROUP BY source
+), lw AS (
+  SELECT lang, pow(sum(t), 0.7) / sum(pow(sum(t), 0.7)) OVER () AS share FROM cells GROUP BY lang
+), tw AS (
+  SELECT topic, pow(sum(t), 0.5) / sum(pow(sum(t), 0.5)) OVER () AS share FROM cells GROUP BY topic
+), start AS (
+  SELECT source, lang, topic, t, t / sum(t) OVER () AS w, sw.share AS s, lw.share AS l, tw.share AS o
+  FROM cells JOIN sw USING (source) JOIN lw USING (lang) JOIN tw USING (topic)
+), r AS (
+  SELECT 0 AS k, * FROM start
+  UNION ALL
+  SELECT k + 1, source, lang, topic, t, w * o / sum(w) OVER (PARTITION BY topic), s, l, o FROM (
+    SELECT k, source, lang, topic, t, w * l / sum(w) OVER (PARTITION BY lang) AS w, s, l, o FROM (
+      SELECT k, source, lang, topic, t, w * s / sum(w) OVER (PARTITION BY source) AS w, s, l, o FROM r WHERE k < 100))
+), f AS (
+  SELECT *, row_number() OVER (ORDER BY t / w, source, lang, topic) AS place FROM r WHERE k = 100
+), g AS (
+  SELECT *, (0.5 * sum(t) OVER () - coalesce(sum(t) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale FROM f
+), h AS (
+  SELECT scale FROM g WHERE scale * w <= t ORDER BY place LIMIT 1
+), p AS (
+  SELECT source, lang, topic, least(1.0, (SELECT scale FROM h) * w / t) AS probability FROM g
+)
+SELECT doc_id, n::BIGINT AS n_tokens, topic, round(CASE WHEN n = 0 THEN 1.0 ELSE probability END, 6) AS probability,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0
+    < CASE WHEN n = 0 THEN 1.0 ELSE probability END AS sampled
+FROM m LEFT JOIN p USING (source, lang, topic)
+"""
+
 URL_FILTER = rf"""
 WITH p AS ({CANONICAL}), listed AS (
   SELECT DISTINCT canon FROM p WHERE canon IS NOT NULL
@@ -176,7 +263,10 @@ FROM r
 SQL = {
     "op1_host_rules": HOST_RULES,
     "op2_decontaminate": DECONTAMINATE,
+    "op3_line_dedup": LINE_DEDUP,
     "op4_setsketch": NEAR_DUPLICATES,
+    "op6_revisits": REVISITS,
     "op8_shards": SHARDS,
+    "op9_raking": RAKING,
     "op10_url_filter": URL_FILTER,
 }
