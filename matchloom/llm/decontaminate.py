@@ -21,14 +21,20 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from matchloom.llm.common import byte_size, utf8
+from matchloom.llm.common import byte_size, free_name, utf8
 
 #: Words of a window.
 WINDOW = 10
 #: Most text bytes of the items in one broadcast block of tables (tables take about 50 times that).
 BLOCK_BYTES = 4_000_000
 
+#: Columns of the result.
+RESULTS = {
+    "n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string", "contaminated": "boolean",
+}
+
 #: A-Z lower-cased; other ASCII than digits and letters separates words.
 WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -167,7 +173,7 @@ def contamination(
     """One row per document: the columns ``keep``, then the counts of the contract.
 
     ``n_words``, ``n_hit`` (words inside any occurrence), ``n_items``, ``items_sha256`` and
-    ``contaminated``; a column of ``keep`` must not have one of these names. Null and empty texts
+    ``contaminated``, each with an underscore more if ``keep`` has the name. Null and empty texts
     have no words; items without id, text or words have no windows. Repeated rows each get their
     row. A null or empty benchmark finds nothing.
     """
@@ -180,18 +186,15 @@ def contamination(
         F.expr(none.format("int")).alias("ends"),
         F.expr(none.format("string")).alias("items"),
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(rows.schema)
     for items in blocks(benchmark, item, item_text, block_bytes):
         shared = spark.sparkContext.broadcast(tables(items, window))
         rows = rows.mapInArrow(partial(scan, shared=shared, schema=arrow), rows.schema)
     kept = rows.select(*[f"keep_{i}" for i in range(len(keep))])
     out = kept.schema
-    for name, kind in (
-        ("n_words", "long"), ("n_hit", "long"), ("n_items", "long"),
-        ("items_sha256", "string"), ("contaminated", "boolean"),
-    ):
+    for name, kind in RESULTS.items():
         out = out.add(name, kind)
     made = rows.mapInArrow(partial(digest, schema=to_arrow_schema(out)), out)
-    return made.withColumnsRenamed({f"keep_{i}": c for i, c in enumerate(keep)})
+    names = {name: free_name(docs.select(keep), name) for name in RESULTS}
+    # By position: the names kept may be those of the results.
+    return made.toDF(*keep, *names.values())
