@@ -31,23 +31,43 @@ def gold_batch(spark: SparkSession, args) -> None:
         sinks.replace_partitions(rows, args.output, ["matchId"])
 
 
-def gold_stream(spark: SparkSession, args) -> None:
+def stream_input(spark: SparkSession, args):
     if args.bootstrap_server:
-        messages = gold.kafka_messages(spark, args.bootstrap_server, args.topic)
-    else:
-        messages = gold.file_messages(spark, args.input)
-    trigger = gold.DRAIN if args.drain else gold.TRIGGER
-    running = gold.stream_gold(
-        spark, messages, args.output, args.rejected, args.checkpoint,
-        by=args.partition_by.split(","), trigger=trigger,
-    )
-    for query in running:
-        query.awaitTermination()
+        return gold.kafka_messages(spark, args.bootstrap_server, args.topic)
+    return gold.file_messages(spark, args.input)
+
+
+def stream_trigger(args) -> dict:
+    return gold.DRAIN if args.drain else gold.TRIGGER
+
+
+def gold_stream(spark: SparkSession, args) -> None:
+    gold.stream_gold(
+        stream_input(spark, args), args.output, args.checkpoint,
+        by=args.partition_by.split(","), trigger=stream_trigger(args),
+    ).awaitTermination()
+
+
+def dedup_stream(spark: SparkSession, args) -> None:
+    once = gold.without_redelivery(gold.gold_rows(stream_input(spark, args)), args.delay)
+    gold.dedup_sink(
+        gold.with_day(once), args.output, args.checkpoint,
+        trigger=stream_trigger(args), partitions=args.partitions,
+    ).awaitTermination()
+
+
+def window_stream(spark: SparkSession, args) -> None:
+    rows = gold.gold_rows(stream_input(spark, args))
+    gold.changes_sink(
+        gold.gold_by_window(rows, args.delay, args.width), args.output, args.checkpoint,
+        stream_trigger(args), args.partitions,
+    ).awaitTermination()
 
 
 def replay_messages(spark: SparkSession, args) -> None:
     found = documents.read_timelines(spark, args.file)
-    events = timeline.gold_events(found).orderBy("matchId", "frame_no")
+    # Order matters within a match only.
+    events = timeline.gold_events(found).repartition("matchId").sortWithinPartitions("matchId", "frame_no")
     sent = timeline.messages(events, schemas.GOLD_MESSAGE.names)
     if args.bootstrap_server:
         sinks.publish(sent, args.bootstrap_server, args.topic)
@@ -99,12 +119,19 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--missing", choices=["null", "zero"], default="null")
     made.add_argument("--lines", action="store_true")
 
-    made = job("gold-stream", gold_stream, "output", "rejected", "checkpoint")
-    made.add_argument("--bootstrap-server")
-    made.add_argument("--topic", default=domain.FRAME_TOPIC)
-    made.add_argument("--input", help="folder of message files, without a server")
-    made.add_argument("--partition-by", default="ds")
-    made.add_argument("--drain", action="store_true", help="stop when all input is read")
+    def stream(name: str, run) -> argparse.ArgumentParser:
+        made = job(name, run, "output", "checkpoint")
+        made.add_argument("--bootstrap-server")
+        made.add_argument("--topic", default=domain.FRAME_TOPIC)
+        made.add_argument("--input", help="folder of message files, without a server")
+        made.add_argument("--drain", action="store_true", help="stop when all input is read")
+        return made
+
+    stream("gold-stream", gold_stream).add_argument("--partition-by", default="ds")
+    for made in (stream("dedup-stream", dedup_stream), stream("window-stream", window_stream)):
+        made.add_argument("--delay", default="10 minutes", help="how far apart copies arrive")
+        made.add_argument("--partitions", type=int, help="of the state, kept from the first start on")
+    made.add_argument("--width", default="1 minute")
 
     made = job("replay", replay_messages, "file")
     made.add_argument("--bootstrap-server")

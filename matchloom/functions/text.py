@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from matchloom import domain
 
@@ -32,11 +32,21 @@ def mask_secrets(pairs: Column, mark: str = domain.SECRET_MARK) -> Column:
     )
 
 
+#: Field of a record that holds its text where a part of it could not be parsed.
+BROKEN = "_broken_text"
+
+
 def to_record(text: Column, schema: StructType) -> Column:
     """JSON text to a record; text that can't be parsed gives a record of nulls."""
     return F.from_json(text, schema)
 
 
+def to_checked_record(text: Column, schema: StructType) -> Column:
+    """The same with a field ``BROKEN``, which is null only if every field was parsed."""
+    checked = StructType([*schema.fields, StructField(BROKEN, StringType())])
+    return F.from_json(text, checked, {"columnNameOfCorruptRecord": BROKEN})
+
+
 def to_text(record: Column) -> Column:
     """Record to JSON text with null fields written out."""
     return F.to_json(record, {"ignoreNullFields": "false"})

@@ -206,7 +206,7 @@ def min_sample_groups(spark, sf_dir):
 @query
 def min_sample_rows(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("user_id", "event_id")
-    return skew.large_groups(rows, ["user_id"], 65, hot_rows=80)
+    return skew.large_groups(rows, ["user_id"], 65)
 
 
 @query
@@ -304,7 +304,7 @@ def line_share(spark, sf_dir):
         "l_orderkey", "l_linestatus", "l_linenumber", cents(F.col("l_extendedprice")).alias("price")
     )
     shared = skew.with_group_totals(
-        rows, ["l_orderkey", "l_linestatus"], {"total": F.sum("price")}, hot_rows=6
+        rows, ["l_orderkey", "l_linestatus"], {"total": F.sum("price")}
     )
     return shared.withColumn(
         "share_bp", numeric.rounded_ratio(F.col("price"), F.col("total"), 10_000)
@@ -460,59 +460,51 @@ def mask_secrets(spark, sf_dir):
 
 
 def send(events: DataFrame, path: str) -> None:
-    """Messages to files; of a signup only the first ten characters arrive."""
+    """Messages to files. Of a broken one only the first ten characters arrive, or, of every
+    second one, all but the number of its event time."""
     value = text.to_text(F.struct(*schemas.GOLD_MESSAGE.names))
-    cut = F.when(F.col("_broken"), F.substring(value, 1, 10)).otherwise(value)
-    sinks.publish_files(events.select(cut.alias("value")), path)
+    half = F.regexp_replace(value, '"eventTs":[0-9]+', '"eventTs":"x"')
+    cut = F.when(F.col("_half"), half).otherwise(F.substring(value, 1, 10))
+    sinks.publish_files(
+        events.select(F.when(F.col("_broken"), cut).otherwise(value).alias("value")), path
+    )
 
 
-def run_gold_stream(spark, sf_dir) -> tuple[str, str]:
-    """Send all events, run the stream, run it again; sink and reject path."""
+def run_gold_stream(spark, sf_dir) -> str:
+    """Send all events, run the stream, run it again; its table."""
     root = workspace.scratch(spark, "stream")
     send(image.frame_events(spark, sf_dir), f"{root}/in")
     for _ in range(2):
-        started = gold.stream_gold(
-            spark,
-            gold.file_messages(spark, f"{root}/in"),
-            f"{root}/gold",
-            f"{root}/rejected",
-            f"{root}/checkpoint",
-            day="event",
-            trigger=gold.DRAIN,
+        gold.drain(
+            gold.stream_gold(
+                gold.file_messages(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint",
+                day="event", trigger=gold.DRAIN,
+            )
         )
-        for running in started:
-            gold.drain(running)
-    return f"{root}/gold", f"{root}/rejected"
+    return f"{root}/out"
 
 
 @query
 def stream_gold(spark, sf_dir):
-    path, _ = run_gold_stream(spark, sf_dir)
-    rows = spark.read.schema(schemas.GOLD_ROW).parquet(path)
+    rows = gold.stored_gold(spark, run_gold_stream(spark, sf_dir)).drop("arrival")
     return rows.withColumn("event_time", zoneless(F.col("event_time")))
 
 
 @query
 def stream_rejected(spark, sf_dir):
-    _, path = run_gold_stream(spark, sf_dir)
-    return spark.read.text(path)
+    return gold.stored_rejected(spark, run_gold_stream(spark, sf_dir))
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every message is sent twice in a drop, and all of the first drop once more later."""
+    """Frames in match time: every second minute twice in a first drop, all in a second."""
     root = workspace.scratch(spark, "dedup")
-    events = image.frame_events(spark, sf_dir).withColumn("_broken", F.lit(False))
-    for copies in (events.unionAll(events), events):
-        send(copies, f"{root}/in")
-        with workspace.conf(
-            spark, spark__sql__streaming__stateStore__providerClass=gold.ROCKSDB
-        ):
-            rows = gold.gold_rows(gold.file_messages(spark, f"{root}/in"))
-            once = gold.without_redelivery(rows, "60 days")
-            gold.drain(
-                gold.parquet_sink(once, f"{root}/out", f"{root}/checkpoint", (), gold.DRAIN)
-            )
+    events = image.match_time_events(spark, sf_dir)
+    odd = events.where(F.col("frameMinute") % 2 == 1)
+    for drop in (odd.unionAll(odd), events):
+        send(drop, f"{root}/in")
+        once = gold.without_redelivery(gold.gold_rows(gold.file_messages(spark, f"{root}/in")))
+        gold.drain(gold.dedup_sink(once, f"{root}/out", f"{root}/checkpoint", (), gold.DRAIN))
     back = spark.read.parquet(f"{root}/out")
     return back.select("matchId", "frameTimestamp", "goldDiff")
 
@@ -534,16 +526,15 @@ def stream_ingest_new(spark, sf_dir):
 
 @query
 def stream_gold_window(spark, sf_dir):
-    """Two drops, the first and the second half of the month."""
+    """Frames in match time, in two drops: the odd minutes of all matches, then the even ones."""
     root = workspace.scratch(spark, "window")
-    events = image.frame_events(spark, sf_dir).withColumn("_broken", F.lit(False))
-    cut = F.lit("2024-01-16").cast("date")
-    for drop in (events.where(F.col("_day") < cut), events.where(F.col("_day") >= cut)):
-        send(drop, f"{root}/in")
+    events = image.match_time_events(spark, sf_dir)
+    for parity in (1, 0):
+        send(events.where(F.col("frameMinute") % 2 == parity), f"{root}/in")
         rows = gold.gold_rows(gold.file_messages(spark, f"{root}/in"))
-        windows = gold.gold_by_window(rows, "10 minutes", "1 hour")
+        windows = gold.gold_by_window(rows, width="1 hour")
         gold.drain(gold.changes_sink(windows, f"{root}/out", f"{root}/checkpoint", gold.DRAIN))
-    latest = gold.latest_changes(spark, f"{root}/out", ["matchId", "window_start"])
+    latest = gold.latest_changes(spark, f"{root}/out")
     return latest.select(
         "matchId",
         zoneless(F.col("window_start")).alias("window_start"),

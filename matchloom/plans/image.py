@@ -209,7 +209,23 @@ def frame_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (blue - red).alias("goldDiff"),
         ms.alias("eventTs"),
         (kind == "signup").alias("_broken"),
-        from_millis(ms).cast("date").alias("_day"),
+        (F.col("event_id") % 2 == 1).alias("_half"),
+    )
+
+
+def match_time_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a game sends them: times since the match's first frame, none broken."""
+    events = frame_events(spark, sf_dir)
+    starts = events.groupBy("matchId").agg(F.min("eventTs").alias("_start"))
+    since = F.col("eventTs") - F.col("_start")
+    return events.join(starts, "matchId").select(
+        "matchId",
+        since.alias("frameTimestamp"),
+        F.floor(since / 60000).alias("frameMinute"),
+        "blueTotalGold", "redTotalGold", "goldDiff",
+        since.alias("eventTs"),
+        F.lit(False).alias("_broken"),
+        F.lit(False).alias("_half"),
     )
 
 

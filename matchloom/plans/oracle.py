@@ -128,7 +128,7 @@ FROM frames"""
 
 MESSAGES = f"""{EVENTS},
 m AS (
-  SELECT 'M_' || user_id AS "matchId", ms AS "frameTimestamp", ms // 60000 AS "frameMinute",
+  SELECT event_id, 'M_' || user_id AS "matchId", ms AS "frameTimestamp", ms // 60000 AS "frameMinute",
     CASE WHEN event_type IN ('click', 'view') THEN amount ELSE 0 END AS "blueTotalGold",
     CASE WHEN event_type IN ('purchase', 'error') THEN amount ELSE 0 END AS "redTotalGold",
     CASE WHEN event_type IN ('click', 'view') THEN amount
@@ -137,6 +137,12 @@ m AS (
   FROM e
 )"""
 
+# The same in match time.
+MATCH_TIME = f"""{MESSAGES},
+mt AS (
+  SELECT "matchId", "goldDiff", "eventTs" - min("eventTs") OVER (PARTITION BY "matchId") AS since FROM m
+)"""
+
 FEATURES = [*DIF_NAMES, "X_STOP_DIF", "OTHER_DIF"]
 # The role each contribution feature belongs to by keyword.
 ROLE_OF = {n: role for role, names in domain.LISTED_FEATURES.items() for n in names}
@@ -358,17 +364,19 @@ SELECT "matchId", "frameTimestamp", "frameMinute", "blueTotalGold", "redTotalGol
   "eventTs", event_time, day AS ds
 FROM m WHERE event_type <> 'signup'""",
     "stream_rejected": f"""WITH {MESSAGES}
-SELECT substr('{{"matchId":"' || "matchId" || '"', 1, 10) AS value FROM m WHERE event_type = 'signup'""",
-    "stream_dedup": f"""WITH {MESSAGES}
-SELECT DISTINCT "matchId", "frameTimestamp", "goldDiff" FROM m""",
+SELECT CASE WHEN event_id % 2 = 0 THEN substr('{{"matchId":"' || "matchId" || '"', 1, 10)
+  ELSE '{{"matchId":"' || "matchId" || '","frameTimestamp":' || "frameTimestamp" || ',"frameMinute":' || "frameMinute"
+    || ',"blueTotalGold":0,"redTotalGold":0,"goldDiff":0,"eventTs":"x"}}' END AS value
+FROM m WHERE event_type = 'signup'""",
+    "stream_dedup": f"""WITH {MATCH_TIME}
+SELECT DISTINCT "matchId", since AS "frameTimestamp", "goldDiff" FROM mt""",
     "stream_ingest_new": f"""WITH {SLOTS}
 SELECT matchid AS "matchId", pid AS "participantId", gold AS "goldEarned", ds FROM players""",
-    "stream_gold_window": f"""WITH {MESSAGES},
+    "stream_gold_window": f"""WITH {MATCH_TIME},
 r AS (
-  SELECT *, date_trunc('hour', event_time) AS window_start, row_number() OVER (
-    PARTITION BY "matchId", date_trunc('hour', event_time)
-    ORDER BY event_time DESC, "frameTimestamp" DESC, "goldDiff" DESC) AS n
-  FROM m
+  SELECT *, make_timestamp(since * 1000) AS event_time, row_number() OVER (
+    PARTITION BY "matchId", since // 3600000 ORDER BY since DESC, "goldDiff" DESC) AS n
+  FROM mt
 )
-SELECT "matchId", window_start, event_time, "goldDiff" FROM r WHERE n = 1""",
+SELECT "matchId", date_trunc('hour', event_time) AS window_start, event_time, "goldDiff" FROM r WHERE n = 1""",
 }

@@ -84,6 +84,18 @@ GOLD_ROW = T.StructType(
     ]
 )
 
+# All of a message table: good messages and, by their text, rejected ones.
+STORED_MESSAGE = T.StructType(
+    [
+        *GOLD_MESSAGE.fields,
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("arrival", T.TimestampType()),
+        T.StructField("raw", STRING),
+        T.StructField("rejected", T.BooleanType()),
+        T.StructField("ds", T.DateType()),
+    ]
+)
+
 LEAGUE = record(entries=T.ArrayType(record(puuid=STRING)))
 
 PLAYER_MATCH = record(puuid=STRING, startTs=LONG, matchId=STRING)

@@ -43,6 +43,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def listed(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Entries of a folder whose name starts with ``prefix``."""
+    fs, hadoop_path = file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    found = [entry.getPath() for entry in fs.listStatus(hadoop_path)]
+    return sorted(p.toString() for p in found if p.getName().startswith(prefix))
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder."""
+    fs, hadoop_path = file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/matchloom-{label}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from matchloom import __main__ as cli
 from matchloom import schemas, workspace
 from matchloom.plans import daily
+from matchloom.streaming import gold
 from tests.conftest import rows
 from tests.documents import frame, match, timeline, write
 
@@ -139,11 +140,20 @@ def test_jobs(spark, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "plan")).count() == 2
     run_job(
         spark, "gold-stream", "--input", tmp_path / "sent", "--output", tmp_path / "live",
-        "--rejected", tmp_path / "bad", "--checkpoint", tmp_path / "c", "--drain",
-        "--partition-by", "matchId",
+        "--checkpoint", tmp_path / "c", "--drain", "--partition-by", "matchId",
     )
-    live = spark.read.schema(schemas.GOLD_ROW).parquet(str(tmp_path / "live"))
+    live = gold.stored_gold(spark, str(tmp_path / "live"))
     assert rows(live, "matchId", "goldDiff") == [("M_1", -2500), ("M_1", -2500)]
+    run_job(
+        spark, "dedup-stream", "--input", tmp_path / "sent", "--output", tmp_path / "once",
+        "--checkpoint", tmp_path / "c1", "--drain", "--partitions", "2",
+    )
+    assert spark.read.parquet(str(tmp_path / "once")).count() == 2
+    run_job(
+        spark, "window-stream", "--input", tmp_path / "sent", "--output", tmp_path / "shown",
+        "--checkpoint", tmp_path / "c2", "--drain", "--partitions", "2",
+    )
+    assert gold.latest_changes(spark, str(tmp_path / "shown")).count() == 2
 
 
 def test_influence_jobs(spark, ran, tmp_path, capsys):

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from matchloom import workspace
 from matchloom.operators import replay, skew
 from tests.conftest import rows
 
@@ -35,8 +36,6 @@ def test_group_totals_equal_a_window(spark, skewed, hot_rows, broadcast):
 
 
 def test_hot_rows_reach_several_tasks(spark, skewed):
-    from matchloom import workspace
-
     with workspace.conf(
         spark,
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -49,6 +48,27 @@ def test_hot_rows_reach_several_tasks(spark, skewed):
     assert len(parts) > 1
 
 
+@pytest.mark.parametrize("hot_rows", [0, 2, 10**6])
+def test_null_keys_are_a_group(spark, hot_rows):
+    data = spark.createDataFrame(
+        [(None, "a", 1), (None, "a", 2), (1, None, 4), (1, None, 8), (None, None, 16), (None, "a", 32)],
+        "k int, g string, v int",
+    )
+    made = skew.with_group_totals(data, ["k", "g"], {"total": F.sum("v")}, hot_rows)
+    assert {(r["v"], r["total"]) for r in made.collect()} == {
+        (1, 35), (2, 35), (32, 35), (4, 12), (8, 12), (16, 16),
+    }
+    kept = skew.large_groups(data, ["k", "g"], 2, hot_rows)
+    assert kept.count() == sum(r["n"] for r in skew.group_sizes(data, ["k", "g"], 2).collect()) == 5
+
+
+def test_many_hot_groups_are_not_broadcast(spark, skewed, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_GROUPS", 3)
+    with workspace.conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        made = skew.with_group_totals(skewed, ["key"], {"total": F.sum("value")}, 5)
+        assert "Broadcast" not in made._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("hot_rows", [5, 10**6])
 def test_large_groups(skewed, hot_rows):
     kept = skew.large_groups(skewed.select("key", "id"), ["key"], 21, hot_rows)
