@@ -244,7 +244,8 @@ def repeats(texts: DataFrame, grams: tuple[int, ...] = GRAMS) -> DataFrame:
         .where("times > 1")
         .select("gram", (F.col("lo") != F.col("hi")).alias("differ"))
     )
-    met = workspace.stored(all_runs.join(met, "gram"), "runs")
+    # Stored, so that the join has a shuffle of its own, in which a frequent gram can be split.
+    met = workspace.stored(all_runs.join(workspace.stored(met, "met"), "gram"), "runs")
     spans = met.where("not differ").select("r1", "r2", F.col("start").alias("from"), (F.col("start") + F.col("n") + LENGTH - 1).alias("to"))
 
     mixed = met.where("differ")
