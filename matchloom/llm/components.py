@@ -24,19 +24,23 @@ def components(links: DataFrame) -> DataFrame:
         links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(),
         "links",
     )
-    before = None
-    while True:
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before or now[0] == 0:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = now
+    while not is_star(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = workspace.stored(large.distinct(), "large-stars")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = workspace.stored(
             small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars"
         )
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def is_star(edges: DataFrame) -> bool:
+    """Whether every node has one link to a lesser one that has none itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 or up = 1 and down = 1").isEmpty()

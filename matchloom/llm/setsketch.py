@@ -12,9 +12,10 @@ register with about the probability of their Jaccard similarity.
 3. In a bucket, registers are compared in blocks of bounded size, several tasks for a large bucket.
    A pair's similarity is the maximum of the joint likelihood of the registers that are above, below
    and equal, given both set sizes. Pairs far below the limit, five deviations, are left.
-4. Round one takes each member's likeliest partner and the bucket's least member; links are confirmed
-   on the full sets. Round two takes every likely pair that is still in different components, and none
-   of the others, so large groups of copies don't give all their pairs and no link is lost.
+4. Links are confirmed on the full sets, in three rounds: each member with the centre of its family in the
+   bucket; then with its likeliest partner in another component; then every likely pair that is still
+   in different components. A group of copies is one component after the first round and gives none
+   of its other pairs, and no link is lost.
 """
 
 from __future__ import annotations
@@ -41,8 +42,10 @@ REGISTERS = BANDS * ROWS
 LOG_BASE, RATE = 1.001, 20.0
 #: Likelihood estimates from here on are confirmed: five deviations of an estimate below 0.75.
 LIKELY = 0.55
-#: Rows of a bucket in one block; a task compares two blocks.
-BLOCK = 2048
+#: Rows of a bucket in one block; a task compares two blocks. Of a block when centres are looked for.
+BLOCK, CENTRE_BLOCK = 2048, 16384
+#: Rows of a family are at least so near its centre, in equal registers.
+FAMILY = 0.7
 #: Text bytes sketched at once.
 PIECE = 2_000_000
 
@@ -126,57 +129,113 @@ def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, registers binary")
 
 
+def counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many registers of each row of ``a`` are above and below those of ``b``."""
+    return (a > b).sum(1), (a < b).sum(1)
+
+
+def sizes_fit(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can reach the limit at all."""
+    return 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+
+
+def commonest(sketches: np.ndarray) -> np.ndarray:
+    """The most frequent value of each register."""
+    ordered = np.sort(sketches, axis=0)
+    size = len(ordered)
+    new = np.ones(ordered.shape, bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    place = np.arange(size)[:, None]
+    began = np.maximum.accumulate(np.where(new, place, 0), axis=0)
+    return np.take_along_axis(ordered, (place - began).argmax(0)[None], 0)[0]
+
+
 class Group:
-    """Likely pairs in one block of a bucket, or between two blocks of it."""
+    """Likely pairs in different components, in one block of a bucket or between two of its blocks."""
 
     def __init__(self, rows: dict[str, np.ndarray], cross: bool) -> None:
-        self.ids, self.sizes = rows["rep"], rows["n"]
+        self.ids, self.sizes, self.label = rows["rep"], rows["n"], rows["component"]
         self.sketches = np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(-1, REGISTERS)
-        self.side, self.label = rows["block"] if cross else None, rows["component"]
+        self.side = rows["block"] if cross else None
 
-    def pairs(self, apart: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Positions i < j and the estimate; ``apart``: in different components only."""
-        out: list[tuple] = []
+    def candidates(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each position the later ones that can be likely, and the counts of registers."""
         for i in range(len(self.ids) - 1):
-            least, most = np.minimum(self.sizes[i], self.sizes[i + 1 :]), np.maximum(self.sizes[i], self.sizes[i + 1 :])
-            fits = (100 * least >= PERCENT * most) & (self.ids[i + 1 :] != self.ids[i])
+            fits = self.label[i + 1 :] != self.label[i]
             if self.side is not None:
                 fits &= self.side[i + 1 :] != self.side[i]
-            if apart:
-                fits &= self.label[i + 1 :] != self.label[i]
-            j = np.flatnonzero(fits) + i + 1
-            if len(j):
-                above = (self.sketches[i] > self.sketches[j]).sum(1)
-                below = (self.sketches[i] < self.sketches[j]).sum(1)
+            if fits.any():
+                fits &= sizes_fit(self.sizes[i + 1 :], self.sizes[i])
+                j = np.flatnonzero(fits) + i + 1
+                above, below = counts(self.sketches[i], self.sketches[j])
                 hold = REGISTERS - above - below >= 0.4 * REGISTERS
                 if hold.any():
-                    j = j[hold]
-                    guess = likelihood(above[hold], below[hold], np.full(len(j), self.sizes[i]), self.sizes[j])
-                    hold = guess >= LIKELY
-                    out.append((np.full(hold.sum(), i), j[hold], guess[hold]))
-        if not out:
-            return np.empty(0, int), np.empty(0, int), np.empty(0)
-        return tuple(np.concatenate(x) for x in zip(*out))
-
-    def chosen(self, everything: bool) -> tuple[np.ndarray, np.ndarray]:
-        i, j, guess = self.pairs(apart=everything)
-        if not everything and len(i) > 1:
-            # For each member the likeliest partner, the least id among equals.
-            member, partner, both = np.concatenate((i, j)), np.concatenate((j, i)), np.concatenate((guess, guess))
-            order = np.lexsort((self.ids[partner], -both, member))
-            best = order[np.unique(member[order], return_index=True)[1]]
-            hub = np.flatnonzero(i == i.min())
-            i, j = np.concatenate((member[best], i[hub])), np.concatenate((partner[best], j[hub]))
-        return self.ids[i], self.ids[j]
-
-
-def likely_pairs(members: DataFrame, everything: bool) -> DataFrame:
-    """Pairs ``a > b`` worth confirming, from ``key, n_blocks, rep, n, registers, component``."""
-    spread = members.select(
-        "*",
-        F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int").alias("block"),
-        F.explode(F.expr("sequence(0, cast(n_blocks as int) - 1)")).alias("other"),
-    ).select(
+                    yield i, j[hold], above[hold], below[hold]
+
+    def likely(self, i: np.ndarray, j: np.ndarray, above: np.ndarray, below: np.ndarray) -> np.ndarray:
+        return likelihood(above, below, self.sizes[i], self.sizes[j]) >= LIKELY
+
+    def stars(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each member with the centre of its family.
+
+        A centre is the member that agrees most with the commonest value of each register: the
+        text that copies were made of, where each of them differs in another place.
+        """
+        left = np.arange(len(self.ids))
+        while len(left) > 1:
+            sketches = self.sketches[left]
+            if len(left) <= 8:
+                agree = (sketches[:, None, :] == sketches[None]).sum((1, 2))
+            else:
+                agree = (sketches == commonest(sketches)).sum(1)
+            centre = int(agree.argmax())
+            above, below = counts(sketches[centre], sketches)
+            at = np.full(len(left), left[centre])
+            hold = sizes_fit(self.sizes[left], self.sizes[at]) & self.likely(at, left, above, below)
+            hold[centre] = False
+            yield self.ids[at[hold]], self.ids[left[hold]]
+            family = REGISTERS - above - below >= FAMILY * REGISTERS
+            family[centre] = True
+            left = left[~family]
+
+    def every(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i, j, above, below in self.candidates():
+            first = np.full(len(j), i)
+            hold = self.likely(first, j, above, below)
+            yield self.ids[first[hold]], self.ids[j[hold]]
+
+    def nearest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each member the partner with most equal registers, the first among equals."""
+        size = len(self.ids)
+        equal, partner = np.zeros(size, int), np.full(size, -1)
+        over, under = np.zeros(size, int), np.zeros(size, int)
+        for i, j, above, below in self.candidates():
+            same = REGISTERS - above - below
+            better = same > equal[j]
+            at = j[better]
+            equal[at], partner[at], over[at], under[at] = same[better], i, below[better], above[better]
+            best = int(same.argmax())
+            if same[best] > equal[i]:
+                equal[i], partner[i], over[i], under[i] = same[best], j[best], above[best], below[best]
+        have = np.flatnonzero(partner >= 0)
+        if len(have):
+            hold = self.likely(have, partner[have], over[have], under[have])
+            yield self.ids[have[hold]], self.ids[partner[have[hold]]]
+
+
+def pairs_apart(members: DataFrame, which: str) -> DataFrame:
+    """Likely pairs ``a > b``, from ``key, rows, rep, n, registers, component``.
+
+    ``stars``: each member with its family's centre, inside a block; of the pairs with members of other
+    components, also between blocks, the ``nearest`` of each, or ``every`` one.
+    """
+    blocks = F.ceil(F.col("rows") / (CENTRE_BLOCK if which == "stars" else BLOCK))
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    if which == "stars":
+        spread = dealt.withColumn("other", F.col("block"))
+    else:
+        spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
+    spread = spread.select(
         "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
         "rep", "n", "registers", "component", "block",
     )
@@ -192,9 +251,10 @@ def likely_pairs(members: DataFrame, everything: bool) -> DataFrame:
         )
         edges = [0, *(change + 1).tolist(), rows.num_rows]
         for begin, end in zip(edges, edges[1:]):
-            if end - begin > 1:
-                part = {n: x[begin:end] for n, x in columns.items()}
-                yield Group(part, part["lo"][0] != part["hi"][0]).chosen(everything)
+            label = columns["component"][begin:end]
+            if (label != label[0]).any():
+                group = Group({n: x[begin:end] for n, x in columns.items()}, columns["lo"][begin] != columns["hi"][begin])
+                yield from getattr(group, which)()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -223,6 +283,18 @@ def likely_pairs(members: DataFrame, everything: bool) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def still_open(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """The members, with sketch and component, of buckets that hold several components."""
+    placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")
+    )
+    several = (
+        placed.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+        .where("first < last").select("key")
+    )
+    return placed.join(several, "key", "left_semi").join(classes, "rep")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full sets reach the limit; ``texts`` has ``id, text``."""
     first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -273,29 +345,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .where("lo < hi")
         .groupBy("rows", "lo", "hi", "all")
         .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("rows") / BLOCK).alias("n_blocks"))
+        .select("key", "rows")
     )
     members = workspace.stored(bands.join(buckets, "key"), "buckets")
-    alone = F.col("rep")
-    round_one = members.join(classes, "rep").withColumn("component", alone)
-    pairs = workspace.stored(likely_pairs(round_one, everything=False), "pairs")
-    ids = workspace.stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    texts = workspace.stored(
-        docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(bounded(ids), "id"),
-        "texts",
-    )
-    links = workspace.stored(confirmed(pairs, texts), "links")
-    found = components(links)
 
-    # What is left: likely pairs in a bucket that still holds several components.
-    placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
-    )
-    open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = placed.join(open_, "key", "left_semi").join(classes, "rep")
-    more = workspace.stored(likely_pairs(rest, everything=True).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    if not more.isEmpty():
-        found = components(links.unionByName(confirmed(more, texts)))
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        ids = workspace.stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+        return workspace.stored(
+            docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(bounded(ids), "id"),
+            "texts",
+        )
+
+    alone = members.join(classes, "rep").withColumn("component", F.col("rep"))
+    tested = workspace.stored(pairs_apart(alone, "stars"), "pairs")
+    links = workspace.stored(confirmed(tested, texts_of(tested)), "confirmed")
+    found = components(links)
+    for which in ("nearest", "every"):
+        pairs = pairs_apart(still_open(members, classes, found), which)
+        pairs = workspace.stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tested = tested.unionByName(pairs)
+        more = workspace.stored(confirmed(pairs, texts_of(pairs)), "confirmed")
+        if not more.isEmpty():
+            # Components so far stand for the links they were made of.
+            links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+            found = components(links)
 
     named_as = reps.join(found, reps["rep"] == found["node"], "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component_id")
