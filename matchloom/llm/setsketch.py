@@ -14,8 +14,9 @@ register with about the probability of their Jaccard similarity.
    and equal, given both set sizes. Pairs far below the limit, five deviations, are left.
 4. Links are confirmed on the full sets, in three rounds: each member with the centre of its family in the
    bucket; then with its likeliest partner in another component; then every likely pair that is still
-   in different components. A group of copies is one component after the first round and gives none
-   of its other pairs, and no link is lost.
+   in different components. A group of copies is one component after the first round and has no pairs
+   in the others. The last round confirms inside the task that finds the pair, in one of the buckets
+   the two share, and gives out links only, so no pairs travel and no link is lost.
 """
 
 from __future__ import annotations
@@ -139,6 +140,13 @@ def sizes_fit(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
 
 
+def as_objects(column: pa.ChunkedArray) -> np.ndarray:
+    """Bytes of each row."""
+    out = np.empty(len(column), object)
+    out[:] = [value for chunk in column.chunks for value in utf8(chunk)]
+    return out
+
+
 def commonest(sketches: np.ndarray) -> np.ndarray:
     """The most frequent value of each register."""
     ordered = np.sort(sketches, axis=0)
@@ -157,6 +165,7 @@ class Group:
         self.ids, self.sizes, self.label = rows["rep"], rows["n"], rows["component"]
         self.sketches = np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(-1, REGISTERS)
         self.side = rows["block"] if cross else None
+        self.rows = rows
 
     def candidates(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each position the later ones that can be likely, and the counts of registers."""
@@ -198,11 +207,43 @@ class Group:
             family[centre] = True
             left = left[~family]
 
+    def meet_here(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Whether this bucket is the first that i and j share."""
+        same = (self.sketches[i] == self.sketches[j]).reshape(-1, BANDS, ROWS).all(2)
+        looked_at = (self.rows["buckets"][i] >> np.arange(BANDS)) & 1
+        return (same & (looked_at == 1)).argmax(1) == self.rows["band"][i]
+
     def every(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All links that join components, but for those that earlier ones joined already."""
+        pairs = []
         for i, j, above, below in self.candidates():
-            first = np.full(len(j), i)
-            hold = self.likely(first, j, above, below)
-            yield self.ids[first[hold]], self.ids[j[hold]]
+            here = self.meet_here(i, j)
+            if here.any():
+                j, first = j[here], np.full(here.sum(), i)
+                hold = self.likely(first, j, above[here], below[here])
+                pairs += zip(first[hold].tolist(), j[hold].tolist())
+        used = sorted({x for pair in pairs for x in pair})
+        held: dict[int, np.ndarray] = {}
+        for begin in range(0, len(used), 256):
+            some = used[begin : begin + 256]
+            held.update(zip(some, sets([self.rows["text"][x] for x in some])))
+        joined: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while label in joined:
+                label = joined[label]
+            return label
+
+        out = []
+        for i, j in pairs:
+            a, b = root(int(self.label[i])), root(int(self.label[j]))
+            if a != b:
+                both = shared(held[i], held[j])
+                if 100 * both >= PERCENT * (len(held[i]) + len(held[j]) - both):
+                    joined[max(a, b)] = min(a, b)
+                    out.append((self.ids[i], self.ids[j]))
+        if out:
+            yield tuple(np.array(x) for x in zip(*out))
 
     def nearest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each member the partner with most equal registers, the first among equals."""
@@ -226,9 +267,11 @@ class Group:
 def pairs_apart(members: DataFrame, which: str) -> DataFrame:
     """Likely pairs ``a > b``, from ``key, rows, rep, n, registers, component``.
 
-    ``stars``: each member with its family's centre, inside a block; of the pairs with members of other
-    components, also between blocks, the ``nearest`` of each, or ``every`` one.
+    ``stars``: each member with its family's centre, inside a block. Of the pairs with members of other
+    components, also between blocks, the ``nearest`` of each, or the confirmed links among ``every`` one;
+    these need ``text``, ``band`` and ``buckets`` too.
     """
+    extra = ["text", "band", "buckets"] if which == "every" else []
     blocks = F.ceil(F.col("rows") / (CENTRE_BLOCK if which == "stars" else BLOCK))
     dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     if which == "stars":
@@ -237,13 +280,13 @@ def pairs_apart(members: DataFrame, which: str) -> DataFrame:
         spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
     spread = spread.select(
         "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "rep", "n", "registers", "component", "block",
+        "rep", "n", "registers", "component", "block", *extra,
     )
     ordered = spread.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep")
 
     def emit(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         columns = {
-            n: np.array(rows.column(n).to_pylist(), object) if n == "registers" else rows.column(n).to_numpy()
+            n: as_objects(rows.column(n)) if n in ("registers", "text") else rows.column(n).to_numpy()
             for n in rows.column_names
         }
         change = np.flatnonzero(
@@ -283,8 +326,8 @@ def pairs_apart(members: DataFrame, which: str) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def still_open(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """The members, with sketch and component, of buckets that hold several components."""
+def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members, with their component, of buckets that hold several components."""
     placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
@@ -292,7 +335,7 @@ def still_open(members: DataFrame, classes: DataFrame, found: DataFrame) -> Data
         placed.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
         .where("first < last").select("key")
     )
-    return placed.join(several, "key", "left_semi").join(classes, "rep")
+    return placed.join(several, "key", "left_semi")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -335,9 +378,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     bands = classes.select(
         "rep",
-        F.explode(
+        F.posexplode(
             F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(registers, i * {2 * ROWS} + 1, {2 * ROWS})))")
-        ).alias("key"),
+        ).alias("band", "key"),
     )
     buckets = (
         bands.groupBy("key")
@@ -350,7 +393,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = workspace.stored(bands.join(buckets, "key"), "buckets")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
-        ids = workspace.stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+        ids = workspace.stored(pairs.select(F.explode(F.array(*pairs.columns)).alias("id")).distinct(), "ids")
         return workspace.stored(
             docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(bounded(ids), "id"),
             "texts",
@@ -361,12 +404,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     links = workspace.stored(confirmed(tested, texts_of(tested)), "confirmed")
     found = components(links)
     for which in ("nearest", "every"):
-        pairs = pairs_apart(still_open(members, classes, found), which)
-        pairs = workspace.stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        tested = tested.unionByName(pairs)
-        more = workspace.stored(confirmed(pairs, texts_of(pairs)), "confirmed")
+        rows_left = workspace.stored(still_open(members, found), "open")
+        if rows_left.isEmpty():
+            break
+        if which == "nearest":
+            pairs = pairs_apart(rows_left.join(classes, "rep"), which).join(tested, ["a", "b"], "left_anti")
+            pairs = workspace.stored(pairs, "pairs")
+            more = confirmed(pairs, texts_of(pairs))
+        else:
+            looked_at = members.groupBy("rep").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), "band")).alias("buckets"))
+            ids = workspace.stored(rows_left.select(F.col("rep").alias("a")).distinct(), "ids")
+            whole = classes.join(looked_at, "rep").join(texts_of(ids).withColumnRenamed("id", "rep"), "rep")
+            more = pairs_apart(rows_left.join(whole, "rep"), which)
+        more = workspace.stored(more, "confirmed")
         if not more.isEmpty():
             # Components so far stand for the links they were made of.
             links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
