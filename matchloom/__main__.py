@@ -16,8 +16,8 @@ from matchloom.streaming import gold
 
 def players(spark: SparkSession, args) -> None:
     participant = schemas.PARTICIPANT
-    if args.sample_fields:
-        participant = documents.sampled_participant(spark, args.input, args.sample_fields)
+    if args.all_fields:
+        participant = documents.all_participant_fields(spark, args.input, multi_line=not args.lines)
     found = documents.read_matches(spark, args.input, participant, multi_line=not args.lines)
     daily.stage_players(found, args.ds, args.output)
 
@@ -112,7 +112,7 @@ def parser() -> argparse.ArgumentParser:
 
     made = job("players", players, "input", "output", "ds")
     made.add_argument("--lines", action="store_true", help="input is JSON Lines")
-    made.add_argument("--sample-fields", type=float, help="find the fields in this share of files")
+    made.add_argument("--all-fields", action="store_true", help="find all fields by reading all documents first")
 
     made = job("gold", gold_batch, "input", "output")
     made.add_argument("--ds", help="partition by this day, else by match")
@@ -150,8 +150,8 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--per-position", action="store_true")
 
     made = job("daily", day, "root", "ds")
-    made.add_argument("--count", type=int, default=5)
-    made.add_argument("--limit-users", type=int, default=10)
+    made.add_argument("--count", type=int, help="latest matches of each player; all without")
+    made.add_argument("--limit-users", type=int, help="first players of the list; all without")
     return top
 
 

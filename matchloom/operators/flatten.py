@@ -37,10 +37,18 @@ def participant_fields(matches: DataFrame) -> list[str]:
     return participants.elementType.names
 
 
-def distinct_matches(matches: DataFrame) -> DataFrame:
-    """One document per match id; copies meet map side already."""
-    return (
-        matches.groupBy(F.col("metadata.matchId").alias("_id"))
-        .agg(*[F.first(c).alias(c) for c in matches.columns])
-        .drop("_id")
+def distinct_documents(documents: DataFrame) -> DataFrame:
+    """One whole document per match id, the longest.
+
+    Documents without an id can't be copies of each other by id and all stay. Copies are
+    compared by length and hash; only the chosen one's text is shuffled again.
+    """
+    known = documents.where("matchId is not null")
+    mark = F.struct(F.length("value"), F.xxhash64("value")).alias("_mark")
+    best = known.groupBy(F.col("matchId").alias("_id")).agg(F.max(mark).alias("_best"))
+    chosen = known.select("*", mark).join(
+        best, (F.col("matchId") == F.col("_id")) & (F.col("_mark") == F.col("_best")), "left_semi"
     )
+    # What is left repeats a text; one of these stays.
+    one = chosen.dropDuplicates(["matchId"]).select(*documents.columns)
+    return one.unionByName(documents.where("matchId is null"))

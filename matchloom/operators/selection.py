@@ -20,13 +20,13 @@ def first_players(players: DataFrame, rank: str = "puuid", limit: int | None = N
 
 def recent_match_ids(
     player_matches: DataFrame,
-    count: int = 20,
+    count: int | None = None,
     ds: str | None = None,
     player: str = "puuid",
     match: str = "matchId",
     start: str = "startTs",
 ) -> DataFrame:
-    """Distinct ids of each player's latest ``count`` matches, on one day if given.
+    """Distinct ids of each player's latest ``count`` matches, all without one, on one day if given.
 
     The rank filter runs before the shuffle too, so a task sends at most
     ``count`` rows per player however many it reads.
@@ -35,6 +35,8 @@ def recent_match_ids(
         player_matches = player_matches.where(
             within_day(F.col(start), F.lit(ds).cast("date"))
         )
+    if count is None:
+        return player_matches.select(match).distinct()
     listed = player_matches.groupBy(player, match).agg(F.max(start).alias(start))
     latest = Window.partitionBy(player).orderBy(F.desc(start), F.asc(match))
     return (

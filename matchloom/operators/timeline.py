@@ -11,9 +11,10 @@ from matchloom import domain
 from matchloom.functions import numeric, text, time
 
 
-def frames(timelines: DataFrame) -> DataFrame:
-    """One row per frame, with its place in the document."""
+def frames(timelines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per frame, with its place in the document and the columns ``keep``."""
     return timelines.select(
+        *keep,
         F.col("metadata.matchId").alias("matchId"),
         F.posexplode("info.frames").alias("frame_no", "frame"),
     )
@@ -24,12 +25,15 @@ def team_gold(by_participant: Column, keys: Sequence[str], missing: str) -> Colu
     return numeric.row_sum([by_participant[key]["totalGold"] for key in keys], missing)
 
 
-def gold_timeline(timelines: DataFrame, missing: str = "zero") -> DataFrame:
+def gold_timeline(
+    timelines: DataFrame, missing: str = "zero", keep: Sequence[str] = ()
+) -> DataFrame:
     """Gold of both teams and the difference, per match and frame.
 
     ``missing="null"`` leaves a team's sum null when a participant is absent,
     ``missing="zero"`` counts them 0 and names a match without id. ``match_id``
-    repeats the id for files partitioned by ``matchId``.
+    repeats the id for files partitioned by ``matchId``. ``keep`` names columns beside the
+    document that stay.
     """
     zero = missing == "zero"
     match_id = F.col("matchId")
@@ -40,7 +44,7 @@ def gold_timeline(timelines: DataFrame, missing: str = "zero") -> DataFrame:
     if zero:
         match_id = F.coalesce(match_id, F.lit(domain.UNKNOWN_MATCH))
         stamp = F.coalesce(stamp, F.lit(0))
-    return frames(timelines).select(
+    return frames(timelines, keep).select(
         match_id.alias("matchId"),
         time.from_millis(stamp).alias("event_time"),
         time.minute_truncated(stamp).alias("frame_minute"),
@@ -48,6 +52,7 @@ def gold_timeline(timelines: DataFrame, missing: str = "zero") -> DataFrame:
         red.alias("red_gold_total"),
         (blue - red).alias("gold_diff"),
         match_id.alias("match_id"),
+        *keep,
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from matchloom import domain, schemas, workspace
 from matchloom.functions import numeric, text, time
@@ -22,7 +23,7 @@ from matchloom.operators import (
     win_model,
 )
 from matchloom.plans import image, influence
-from matchloom.plans.image import cents, epoch_millis, match_id, month, table, zoneless
+from matchloom.plans.image import cents, epoch_millis, match_id, table, zoneless
 from matchloom.sinks import tables as sinks
 from matchloom.sources import documents, tables
 from matchloom.streaming import gold
@@ -244,37 +245,36 @@ def train_test_split(spark, sf_dir):
 
 @query
 def land_by_event_date(spark, sf_dir):
-    """Starts are moved to the first of their month: a day has only a few orders here,
-    and a folder per day would be nothing but small files."""
-    path = workspace.scratch(spark, "land")
-    start = F.col("info.gameStartTimestamp")
-    first = epoch_millis(month(time.utc_date(start)).cast("timestamp_ntz"))
+    """Whole documents through files: sent with an undeclared field, landed by day, read back."""
+    root = workspace.scratch(spark, "land")
     matches = image.match_documents(spark, sf_dir)
-    sinks.land_matches(
-        matches.withColumn("info", F.col("info").withField("gameStartTimestamp", first)), path
-    )
-    landed = documents.read_landed(spark, path, schemas.MATCH)
+    noted = matches.withColumn("note", F.concat(F.lit("n"), F.col("metadata.matchId")))
+    noted.select(F.to_json(F.struct(*noted.columns)).alias("value")).write.text(f"{root}/in")
+    sinks.land_matches(documents.read_whole(spark, f"{root}/in", multi_line=False), f"{root}/raw")
+    schema = StructType([*schemas.MATCH.fields, StructField("note", StringType())])
+    landed = documents.read_landed(spark, f"{root}/raw", schema)
     return landed.select(
         F.col("metadata.matchId").alias("matchId"),
         "ds",
         F.coalesce(F.size("info.participants"), F.lit(0)).alias("participants"),
+        "note",
     )
 
 
 @query
 def path_ds_load(spark, sf_dir):
     path = workspace.scratch(spark, "staged")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", month(F.col("o_orderdate")).alias("ds"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("ds"))
     sinks.replace_partitions(orders, path)
     return documents.read_staged(spark, path, schemas.record(o_orderkey=schemas.LONG))
 
 
 @query
 def replace_partition(spark, sf_dir):
-    """The table after its last month was replaced by rows of twice the price."""
+    """The table after its last day was replaced by rows of twice the price."""
     path = workspace.scratch(spark, "replaced")
     rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", cents(F.col("o_totalprice")).alias("price"), month(F.col("o_orderdate")).alias("ds")
+        "o_orderkey", cents(F.col("o_totalprice")).alias("price"), F.to_date("o_orderdate").alias("ds")
     )
     sinks.replace_partitions(rows, path)
     last = rows.select(F.max("ds")).scalar()
@@ -545,10 +545,6 @@ def stream_gold_window(spark, sf_dir):
 
 # --- models --------------------------------------------------------------------------
 
-# Fewer and smaller trees than the default: the queries show the job, not the fit.
-SMALL = {"maxIter": 8, "maxDepth": 4}
-
-
 def model_matches(spark, sf_dir):
     """Differences, with 0 where neither side has the position."""
     matches = features.match_features(image.players(spark, sf_dir))
@@ -559,26 +555,26 @@ def model_matches(spark, sf_dir):
 @query
 def ml_win_model(spark, sf_dir):
     matches = model_matches(spark, sf_dir)
-    model = win_model.train_win_model(matches, **SMALL)
+    model = win_model.train_win_model(matches)
     return model.transform(matches).select("DS", "MATCHID", "BLUE_TEAM_WIN", "prediction")
 
 
 @query
 def ml_shap(spark, sf_dir):
     matches = model_matches(spark, sf_dir)
-    model = win_model.train_win_model(matches, **SMALL)
+    model = win_model.train_win_model(matches)
     return influence.contributions(model, matches)
 
 
 @query
 def ml_role_influence(spark, sf_dir):
-    return influence.role_influence(model_matches(spark, sf_dir), **SMALL)
+    return influence.role_influence(model_matches(spark, sf_dir))
 
 
 @query
 def ml_top_features_all(spark, sf_dir):
     players = features.player_features(image.players(spark, sf_dir))
-    return influence.top_features_all(workspace.stored(players, "players"), **SMALL)
+    return influence.top_features_all(workspace.stored(players, "players"))
 
 
 @query
@@ -586,4 +582,4 @@ def ml_top_features_role(spark, sf_dir):
     players = features.with_position_labels(
         features.player_features(image.players(spark, sf_dir))
     )
-    return influence.top_features_per_position(workspace.stored(players, "players"), **SMALL)
+    return influence.top_features_per_position(workspace.stored(players, "players"))

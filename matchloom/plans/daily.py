@@ -7,11 +7,11 @@ replaces its day and leaves the others.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from matchloom import schemas, workspace
 from matchloom.operators import features, flatten, roles, selection, timeline, win_model
@@ -79,48 +79,52 @@ class Paths:
 
 
 def collect(
-    spark: SparkSession, ds: str, paths: Paths, count: int = 5, limit_users: int | None = 10
+    spark: SparkSession, ds: str, paths: Paths, count: int | None = None, limit_users: int | None = None
 ) -> list[dt.date]:
-    """Land the documents of the day's matches of the first players.
+    """Land the documents of the day's matches of all players, or of the first ``limit_users``.
 
-    Matches land by the date they started, timelines by their match's. These
-    days, nearly always the one asked for, are returned for the later stages.
+    Documents land whole. Matches land by the date they started, timelines by their match's.
+    These days, nearly always the one asked for, are returned for the later stages. Where the
+    inboxes have ``ds=`` folders only the day's is read.
     """
     players = selection.first_players(documents.read_league(spark, paths.league), limit=limit_users)
     listed = documents.read_player_matches(spark, paths.player_matches)
     ids = selection.recent_match_ids(listed.join(players, "puuid", "left_semi"), count, ds)
     ids = workspace.stored(ids, "ids")
 
-    def chosen(rows: DataFrame) -> DataFrame:
-        named = rows.withColumn("matchId", F.col("metadata.matchId"))
-        return named.join(ids, "matchId", "left_semi").drop("matchId")
+    def chosen(inbox: str) -> DataFrame:
+        day = f"{inbox}/ds={ds}"
+        path = day if workspace.exists(spark, day) else inbox
+        found = documents.read_whole(spark, path).join(ids, "matchId", "left_semi")
+        return flatten.distinct_documents(found.select("matchId", "start", "value"))
 
-    matches = flatten.distinct_matches(chosen(documents.read_matches(spark, paths.match_inbox)))
-    dated = workspace.stored(sinks.with_event_date(matches), "matches")
-    days = sinks.merge_documents(dated, paths.matches, schemas.MATCH)
-
-    dates = dated.select(F.col("metadata.matchId").alias("_id"), "ds")
-    timelines = flatten.distinct_matches(
-        chosen(documents.read_timelines(spark, paths.timeline_inbox))
-    )
+    dated = workspace.stored(sinks.with_event_date(chosen(paths.match_inbox)), "matches")
+    days = sorted(row["ds"] for row in dated.select("ds").distinct().collect())
+    if not days:
+        return days
+    sinks.land_lines(dated, paths.matches)
+    dates = dated.select("matchId", "ds")
     timelines = (
-        timelines.join(dates, F.col("metadata.matchId") == F.col("_id"), "left")
+        chosen(paths.timeline_inbox).join(dates, "matchId", "left")
         .withColumn("ds", F.coalesce("ds", F.lit(ds).cast("date")))
-        .drop("_id")
     )
-    sinks.merge_documents(timelines, paths.timelines, schemas.TIMELINE)
+    sinks.land_lines(timelines, paths.timelines)
     return days
 
 
-def stage_players(matches: DataFrame, ds: str | dt.date, target: str) -> None:
-    """Match documents to player rows, replacing the day."""
-    sinks.replace_partitions(flatten.flatten_players(matches, F.lit(str(ds))), target)
+def stage_players(matches: DataFrame, ds: str | dt.date | Column, target: str) -> None:
+    """Match documents to player rows, replacing the day or days."""
+    day = ds if isinstance(ds, Column) else F.lit(str(ds))
+    sinks.replace_partitions(flatten.flatten_players(matches, day), target)
 
 
-def stage_gold(timelines: DataFrame, ds: str | dt.date, target: str, missing: str = "null") -> None:
-    """Timeline documents to gold rows, replacing the day."""
-    rows = timeline.gold_timeline(timelines, missing)
-    sinks.replace_partitions(rows.withColumn("ds", F.lit(str(ds)).cast("date")), target)
+def stage_gold(
+    timelines: DataFrame, ds: str | dt.date | Column, target: str, missing: str = "null"
+) -> None:
+    """Timeline documents to gold rows, replacing the day or days."""
+    day = ds if isinstance(ds, Column) else F.lit(str(ds))
+    dated = timelines.withColumn("ds", day.cast("date"))
+    sinks.replace_partitions(timeline.gold_timeline(dated, missing, ["ds"]), target)
 
 
 def load_raw(spark: SparkSession, ds: str | dt.date, staged: str, target: str) -> None:
@@ -130,9 +134,9 @@ def load_raw(spark: SparkSession, ds: str | dt.date, staged: str, target: str) -
     sinks.replace_partitions(documents.as_variant(rows), target)
 
 
-def build_features(spark: SparkSession, ds: str | dt.date, players: str, target: str) -> None:
-    """Difference features of one day's matches."""
-    rows = tables.one_day(tables.read_table(spark, players), "ds", ds)
+def build_features(spark: SparkSession, days: Sequence[dt.date], players: str, target: str) -> None:
+    """Difference features of these days' matches."""
+    rows = tables.these_days(tables.read_table(spark, players), "ds", days)
     sinks.replace_partitions(features.match_features(rows), target, ["DS"])
 
 
@@ -141,19 +145,34 @@ def train(spark: SparkSession, source: str, model: str, **params) -> None:
     win_model.save(win_model.train_win_model(tables.read_table(spark, source), **params), model)
 
 
-def explain_day(spark: SparkSession, ds: str | dt.date, source: str, model: str, target: str) -> DataFrame:
-    """Role contributions of one day with a saved model; returns the day's means.
+def explain_days(
+    spark: SparkSession, days: Sequence[dt.date], source: str, model: str, target: str
+) -> None:
+    """Role contributions of these days with a saved model, replacing the days.
 
-    A day without matches writes nothing and gives an empty report.
+    ``target`` is a catalog table, made if missing, or a Parquet folder. A day without matches
+    writes nothing.
     """
-    matches = tables.one_day(tables.read_table(spark, source), "DS", ds)
+    matches = tables.these_days(tables.read_table(spark, source), "DS", days)
     rows = influence.contributions(win_model.load(model), matches)
-    sinks.replace_partitions(rows, target, ["DS"])
+    if "/" in target:
+        sinks.replace_partitions(rows, target, ["DS"])
+    else:
+        sinks.ensure_role_table(spark, target)
+        sinks.replace_table_day(rows, target)
+
+
+def explain_day(spark: SparkSession, ds: str | dt.date, source: str, model: str, target: str) -> DataFrame:
+    """The same for one day; returns its means, none for a day without matches."""
+    explain_days(spark, [dt.date.fromisoformat(str(ds))], source, model, target)
     return day_report(spark, ds, target)
 
 
 def day_report(spark: SparkSession, ds: str | dt.date, target: str) -> DataFrame:
-    written = spark.read.schema(schemas.ROLE_CONTRIBUTION).parquet(target)
+    if "/" not in target:
+        written = spark.table(target).select(*schemas.ROLE_CONTRIBUTION.names)
+    else:
+        written = spark.read.schema(schemas.ROLE_CONTRIBUTION).parquet(target)
     return roles.role_daily_mean(tables.one_day(written, "DS", ds))
 
 
@@ -161,26 +180,28 @@ def run(
     spark: SparkSession,
     root: str,
     ds: str,
-    count: int = 5,
-    limit_users: int | None = 10,
+    count: int | None = None,
+    limit_users: int | None = None,
     **params,
 ) -> DataFrame:
-    """All stages of a day; returns the day's mean contribution per role."""
+    """All stages of a day; returns the day's mean contribution per role.
+
+    All days that the run landed go through each stage in one job.
+    """
     paths = Paths(root)
     days = collect(spark, ds, paths, count, limit_users)
     if not days:
         return spark.createDataFrame([], "ROLE string, MEAN_PCT double")
-
-    def landed(path: str, schema: StructType, day: dt.date) -> DataFrame:
-        return documents.read_landed(spark, path, schema).where(F.col("ds") == F.lit(day)).drop("ds")
-
-    for day in days:
-        stage_players(landed(paths.matches, schemas.MATCH, day), day, paths.players)
-        if workspace.exists(spark, paths.timelines):
-            stage_gold(landed(paths.timelines, schemas.TIMELINE, day), day, paths.gold)
+    folders = [f"{paths.matches}/ds={day}" for day in days]
+    participant = documents.all_participant_fields(spark, folders)
+    matches = documents.read_landed(spark, paths.matches, schemas.match_schema(participant), days)
+    stage_players(matches, F.col("ds"), paths.players)
+    if workspace.exists(spark, paths.timelines):
+        timelines = documents.read_landed(spark, paths.timelines, schemas.TIMELINE, days)
+        stage_gold(timelines, F.col("ds"), paths.gold)
+    for day in days:  # the date of a load is in the path of what it reads
         load_raw(spark, day, paths.players, paths.raw)
-        build_features(spark, day, paths.players, paths.features)
+    build_features(spark, days, paths.players, paths.features)
     train(spark, paths.features, paths.model, **params)
-    for day in days:
-        report = explain_day(spark, day, paths.features, paths.model, paths.roles)
-    return report if len(days) == 1 else day_report(spark, ds, paths.roles)
+    explain_days(spark, days, paths.features, paths.model, paths.roles)
+    return day_report(spark, days[0] if len(days) == 1 else ds, paths.roles)

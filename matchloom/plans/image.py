@@ -29,9 +29,6 @@ def zoneless(ts: Column) -> Column:
     return ts.cast("timestamp_ntz")
 
 
-def month(date: Column) -> Column:
-    return F.trunc(date.cast("date"), "month")
-
 
 def match_id(key: Column) -> Column:
     return F.concat(F.lit("M_"), key.cast("string"))

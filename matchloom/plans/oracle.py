@@ -277,13 +277,13 @@ SELECT o_orderkey, CASE WHEN ((o_orderkey + 29) % 2147483647 * 48271) % 21474836
   THEN 'test' ELSE 'train' END AS fold
 FROM orders""",
     "land_by_event_date": f"""WITH {SLOTS}
-SELECT 'M_' || o_orderkey AS "matchId", date_trunc('month', o_orderdate)::DATE AS ds,
-  (SELECT count(*) FROM slots WHERE l_orderkey = o_orderkey)::INTEGER AS participants
+SELECT 'M_' || o_orderkey AS "matchId", o_orderdate::DATE AS ds,
+  (SELECT count(*) FROM slots WHERE l_orderkey = o_orderkey)::INTEGER AS participants, 'nM_' || o_orderkey AS note
 FROM orders""",
-    "path_ds_load": "SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS ds FROM orders",
+    "path_ds_load": "SELECT o_orderkey, o_orderdate::DATE AS ds FROM orders",
     "replace_partition": """
 WITH o AS (
-  SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS price, date_trunc('month', o_orderdate)::DATE AS ds
+  SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS price, o_orderdate::DATE AS ds
   FROM orders
 )
 SELECT o_orderkey, CASE WHEN ds = (SELECT max(ds) FROM o) THEN 2 * price ELSE price END AS price, ds

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from matchloom import domain, workspace
 from matchloom.functions.time import utc_date
-from matchloom.sources.documents import read_landed
 
 
 def balanced(rows: DataFrame, *by: str) -> DataFrame:
@@ -43,55 +42,42 @@ def append_partitions(rows: DataFrame, path: str, by: Sequence[str]) -> None:
     balanced(rows, *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
-def land_json(rows: DataFrame, path: str, by: str = "ds") -> None:
-    """JSON Lines below ``by=value`` folders, replacing the values that occur."""
-    (
-        balanced(rows, by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .json(path)
-    )
+def run_name() -> str:
+    """A name for the documents one run lands; later runs have greater names."""
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex[:8]}"
 
 
-def with_event_date(matches: DataFrame) -> DataFrame:
-    """Match documents with the UTC date of their start; those without a start are left out."""
-    start = F.col("info.gameStartTimestamp")
-    return matches.where(start.isNotNull()).withColumn("ds", utc_date(start))
+def land_lines(documents: DataFrame, path: str) -> None:
+    """Append ``value`` lines below ``ds=`` and ``run=`` folders; nothing that is there is touched.
 
+    ``read_landed`` takes the last run's document of a match, so a run that ended half-way
+    can be repeated.
+    """
+    rows = documents.select("value", "ds", F.lit(run_name()).alias("run"))
+    balanced(rows, "ds").write.mode("append").partitionBy("ds", "run").text(path)
 
-def land_matches(matches: DataFrame, path: str) -> None:
-    """Land match documents by the date the match started."""
-    land_json(with_event_date(matches), path)
 
+def with_event_date(documents: DataFrame) -> DataFrame:
+    """Whole documents with the UTC date of their start; those without a start are left out."""
+    return documents.where(F.col("start").isNotNull()).withColumn("ds", utc_date(F.col("start")))
 
-def merge_documents(
-    dated: DataFrame, path: str, schema: StructType
-) -> list[dt.date]:
-    """Add dated documents to the landed ones and return the days they belong to.
 
-    Documents of these days that are already there stay unless a new one has
-    their match id, so a late match doesn't replace its day.
-    """
-    spark = dated.sparkSession
-    fresh = workspace.stored(dated, "landing")
-    days = sorted(row["ds"] for row in fresh.select("ds").distinct().collect())
-    if not days:
-        return days
-    merged = fresh
-    if workspace.exists(spark, path):
-        ids = fresh.select(F.col("metadata.matchId").alias("_id"))
-        landed = read_landed(spark, path, schema).where(F.col("ds").isin(days))
-        others = landed.join(ids, F.col("metadata.matchId") == F.col("_id"), "left_anti")
-        # Stored first: the write below replaces the folders this reads.
-        merged = workspace.stored(fresh.unionByName(others.select(*fresh.columns)), "merged")
-    land_json(merged, path)
-    return days
-
-
-def land_timelines(timelines: DataFrame, path: str, ds: str) -> None:
-    """Land timeline documents, which hold no wall-clock time, by the given date."""
-    land_json(timelines.withColumn("ds", F.lit(ds).cast("date")), path)
+def without_start(documents: DataFrame) -> DataFrame:
+    """One row: how many documents ``with_event_date`` leaves out, and how many aren't JSON."""
+    return documents.agg(
+        F.count_if(F.col("start").isNull() & F.col("value").isNotNull()).alias("without_start"),
+        F.count_if(F.col("value").isNull()).alias("not_json"),
+    )
+
+
+def land_matches(documents: DataFrame, path: str) -> None:
+    """Land whole match documents by the date the match started."""
+    land_lines(with_event_date(documents), path)
+
+
+def land_timelines(documents: DataFrame, path: str, ds: str) -> None:
+    """Land whole timeline documents, which hold no wall-clock time, by the given date."""
+    land_lines(documents.where("value is not null").withColumn("ds", F.lit(ds).cast("date")), path)
 
 
 def ensure_role_table(spark: SparkSession, name: str, location: str | None = None) -> None:

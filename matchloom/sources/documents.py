@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from matchloom import schemas, workspace
 from matchloom.functions.text import partition_value
 
 DS = T.StructField("ds", T.DateType())
+RUN = T.StructField("run", T.StringType())
 LISTERS = "64"
 
 
@@ -35,15 +38,53 @@ def read_matches(
     return read_json(spark, path, schemas.match_schema(participant), multi_line=multi_line)
 
 
-def sampled_participant(spark: SparkSession, path: str, ratio: float = 0.01) -> StructType:
-    """Participant struct of documents whose fields aren't known beforehand.
+def read_whole(spark: SparkSession, path: str | list[str], *, multi_line: bool = True) -> DataFrame:
+    """Whole documents as they came: ``matchId``, ``start`` and ``value``, one line of JSON.
 
-    Schema discovery only: rows come from a later ``read_matches`` of the whole path.
+    ``value`` has every field of the document; only white space and the order of fields may
+    differ. Text that isn't JSON has null in all columns but ``raw``.
+    """
+    text = spark.read.text(path, wholetext=multi_line)
+    document = F.try_parse_json("value")
+    return text.select(
+        F.try_variant_get(document, "$.metadata.matchId", "string").alias("matchId"),
+        F.try_variant_get(document, "$.info.gameStartTimestamp", "long").alias("start"),
+        F.to_json(document).alias("value"),
+        F.when(document.isNull(), F.col("value")).alias("raw"),
+    )
+
+
+def all_participant_fields(
+    spark: SparkSession, path: str | list[str], *, multi_line: bool = False,
+    declared: StructType = schemas.PARTICIPANT,
+) -> StructType:
+    """The declared participant fields and every other one that any document has.
+
+    Reads all documents once; declared types stay.
     """
-    sampled = spark.read.option("multiLine", True).option("samplingRatio", ratio).json(path)
-    participants = sampled.schema["info"].dataType["participants"].dataType
-    assert isinstance(participants, ArrayType)
-    return participants.elementType
+    reader = spark.read.option("multiLine", multi_line).option("recursiveFileLookup", True)
+    found = reader.json(path).schema
+    for name, kind in (("info", StructType), ("participants", ArrayType)):
+        if name not in found.names:
+            return declared
+        found = found[name].dataType
+        if not isinstance(found, kind):
+            return declared
+    others = found.elementType
+    return merged_fields(declared, others) if isinstance(others, StructType) else declared
+
+
+def merged_fields(declared: StructType, found: StructType) -> StructType:
+    """Declared fields first, in structs too, then the others."""
+    known = {f.name.lower() for f in declared.fields}
+    fields = []
+    for field in declared.fields:
+        if isinstance(field.dataType, StructType) and field.name in found.names:
+            inner = found[field.name].dataType
+            if isinstance(inner, StructType):
+                field = T.StructField(field.name, merged_fields(field.dataType, inner))
+        fields.append(field)
+    return StructType([*fields, *[f for f in found.fields if f.name.lower() not in known]])
 
 
 def read_timelines(
@@ -57,15 +98,30 @@ def day_glob(root: str, ds: str) -> str:
     return f"{root.rstrip('/')}/ds={ds}/*.json"
 
 
-def read_landed(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """JSON Lines landed below ``ds=`` folders, with ``ds`` as a date.
+def read_landed(
+    spark: SparkSession, root: str, schema: StructType, days: Sequence | None = None
+) -> DataFrame:
+    """JSON Lines landed below ``ds=`` and ``run=`` folders, with ``ds`` as a date.
 
-    Folders are listed by a fixed number of tasks, not by one task per day.
+    Of a match that several runs landed the last run's document counts; documents without a
+    match id all stay. ``days`` prunes the folders. Folders are listed by a fixed number of
+    tasks, not by one task per day.
     """
     with workspace.conf(
         spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=LISTERS
     ):
-        return spark.read.schema(T.StructType([*schema.fields, DS])).json(root)
+        rows = spark.read.schema(T.StructType([*schema.fields, DS, RUN])).json(root)
+    if days is not None:
+        rows = rows.where(F.col("ds").isin(list(days)))
+    match = F.col("metadata.matchId")
+    # Narrow rows decide; documents are only filtered.
+    last = (
+        rows.select(match.alias("_id"), "ds", "run").where("_id is not null")
+        .groupBy("_id", "ds").agg(F.max("run").alias("_run")).withColumnRenamed("ds", "_ds")
+    )
+    same = (match == F.col("_id")) & (F.col("ds") == F.col("_ds")) & (F.col("run") == F.col("_run"))
+    named = rows.join(last, same, "left_semi")
+    return named.unionByName(rows.where(match.isNull())).drop("run")
 
 
 def read_league(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:

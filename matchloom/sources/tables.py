@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,11 @@ def one_day(rows: DataFrame, column: str, ds: str | dt.date) -> DataFrame:
     return rows.where(day_range(F.col(column), ds))
 
 
+def these_days(rows: DataFrame, column: str, days: Sequence[dt.date]) -> DataFrame:
+    """Rows of several dates; a partition filter where the column is one."""
+    return rows.where(F.col(column).isin(list(days)))
+
+
 def last_days(
     rows: DataFrame, column: str, as_of: str | dt.date | Column | None = None, days: int = 90
 ) -> DataFrame:

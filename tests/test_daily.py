@@ -58,7 +58,7 @@ def ran(spark, tmp_path_factory):
     # A day that was there before stays as it is.
     old = spark.createDataFrame([("M_old", dt.date(2024, 4, 1))], "matchId string, ds date")
     old.write.partitionBy("ds").parquet(str(root / "staging" / "gold_diffs"))
-    report = daily.run(spark, str(root), str(DAY), count=50, **SMALL)
+    report = daily.run(spark, str(root), str(DAY), **SMALL)
     return root, found, report.collect()
 
 
@@ -103,7 +103,7 @@ def test_rerun_changes_nothing(spark, ran):
         return [spark.read.parquet(str(root / n)).count() for n in names]
 
     before = sizes()
-    again = daily.run(spark, str(root), str(DAY), count=50, **SMALL).collect()
+    again = daily.run(spark, str(root), str(DAY), **SMALL).collect()
     assert sizes() == before
     assert again == report
 
@@ -126,7 +126,7 @@ def test_jobs(spark, tmp_path, capsys):
     run_job(spark, "players", "--input", docs, "--output", tmp_path / "players", "--ds", "2024-05-01")
     run_job(
         spark, "players", "--input", docs, "--output", tmp_path / "sampled", "--ds", "2024-05-01",
-        "--sample-fields", "1.0",
+        "--all-fields",
     )
     for out in ("players", "sampled"):
         assert spark.read.parquet(str(tmp_path / out)).count() == 20

@@ -42,18 +42,25 @@ def test_clashing_participant_fields_are_renamed(spark, tmp_path):
     assert rows(players, "player_DS", "player_matchid") == [("x", "y")]
 
 
-def test_sampled_fields(spark, tmp_path):
-    path = write(tmp_path / "m", a=match("M_1", 0, change=lambda i: {"extra": i}))
-    fields = documents.sampled_participant(spark, path, 1.0)
+def test_all_fields(spark, tmp_path):
+    path = write(tmp_path / "m", a=match("M_1", 0, change=lambda i: {"extra": i}), b=match("M_2", 0))
+    fields = documents.all_participant_fields(spark, path, multi_line=True)
+    assert fields.names == [*schemas.PARTICIPANT.names, "extra"]
     players = flatten.flatten_players(documents.read_matches(spark, path, fields), "2024-05-01")
-    assert rows(players, "extra") == sorted([(i,) for i in range(1, 11)], key=repr)
+    assert rows(players.where("matchId = 'M_1'"), "extra") == sorted([(i,) for i in range(1, 11)], key=repr)
 
 
 def test_copies_of_a_match_count_once(spark, tmp_path):
-    path = write(tmp_path / "m", a=match("M_1", 0), b=match("M_1", 0), c=match("M_2", 0))
-    once = flatten.distinct_matches(documents.read_matches(spark, path))
-    assert once.columns == ["metadata", "info"]
-    assert rows(once, "metadata.matchId") == [("M_1",), ("M_2",)]
+    path = write(
+        tmp_path / "m", a=match("M_1", 0), b=match("M_1", 0), c=match("M_2", 0), d=match(None, 0), e=match(None, 0),
+        f=match("M_2", 0, numbers=[1]),
+    )
+    found = documents.read_whole(spark, path)
+    once = flatten.distinct_documents(found)
+    assert once.columns == found.columns
+    assert rows(once, "matchId") == [("M_1",), ("M_2",), (None,), (None,)]
+    kept = once.where("matchId = 'M_2'").select("value").first()[0]
+    assert kept.count("participantId") == 10
 
 
 def test_league_list(spark, tmp_path):

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
@@ -49,7 +50,9 @@ def test_land_by_start_date(spark, tmp_path):
         c={"metadata": {"matchId": "M_3"}, "info": {}}, d={},
     )
     out = str(tmp_path / "out")
-    sinks.land_matches(documents.read_matches(spark, path), out)
+    found = documents.read_whole(spark, path)
+    sinks.land_matches(found, out)
+    assert tuple(sinks.without_start(found).first()) == (2, 0)
     landed = documents.read_landed(spark, out, schemas.MATCH)
     assert rows(landed, "metadata.matchId", "ds") == [
         ("M_1", dt.date(2025, 9, 17)), ("M_2", dt.date(2025, 9, 18)),
@@ -60,28 +63,47 @@ def test_land_by_start_date(spark, tmp_path):
 def test_timelines_land_by_run_date(spark, tmp_path):
     path = write(tmp_path / "t", a=timeline("M_1"))
     out = str(tmp_path / "out")
-    sinks.land_timelines(documents.read_timelines(spark, path), out, "2024-05-01")
+    sinks.land_timelines(documents.read_whole(spark, path), out, "2024-05-01")
     landed = documents.read_landed(spark, out, schemas.TIMELINE)
     assert rows(landed, "metadata.matchId", "ds") == [("M_1", dt.date(2024, 5, 1))]
 
 
-def test_merge_keeps_the_others_of_a_day(spark, tmp_path):
+def test_later_documents_count_and_nothing_is_rewritten(spark, tmp_path):
     out = str(tmp_path / "out")
 
     def land(name, **docs):
-        found = documents.read_matches(spark, write(tmp_path / name, **docs))
-        return sinks.merge_documents(sinks.with_event_date(found), out, schemas.MATCH)
+        before = {p: p.read_bytes() for p in (tmp_path / "out").rglob("*.txt")}
+        sinks.land_matches(documents.read_whole(spark, write(tmp_path / name, **docs)), out)
+        assert all(p.read_bytes() == held for p, held in before.items())
 
-    day = dt.date(1970, 1, 2)
-    assert land("a", a=match("M_1", DAY_MS), b=match("M_2", DAY_MS)) == [day]
-    assert land("b", a=match("M_2", DAY_MS, numbers=[1]), b=match("M_3", DAY_MS * 2)) == [
-        day, dt.date(1970, 1, 3),
-    ]
-    assert land("c", a={}) == []
+    land("a", a=match("M_1", DAY_MS), b=match("M_2", DAY_MS), x=match(None, DAY_MS), y=match(None, DAY_MS))
+    land("b", a=match("M_2", DAY_MS, numbers=[1]), b=match("M_3", DAY_MS * 2))
     landed = documents.read_landed(spark, out, schemas.MATCH)
     assert rows(landed.select("metadata.matchId", F.size("info.participants"))) == [
-        ("M_1", 10), ("M_2", 1), ("M_3", 10),
+        ("M_1", 10), ("M_2", 1), ("M_3", 10), (None, 10), (None, 10),
     ]
+    one = documents.read_landed(spark, out, schemas.MATCH, [dt.date(1970, 1, 3)])
+    assert rows(one, "metadata.matchId") == [("M_3",)]
+
+
+def test_documents_land_whole(spark, tmp_path):
+    sent = match("M_1", DAY_MS, change=lambda i: {"championName": f"c{i}", "challenges": {"soloKills": i, "other": [i]}})
+    sent["metadata"]["dataVersion"] = "2"
+    sent["info"] |= {"gameMode": "CLASSIC", "ratio": 0.1, "big": 2**60}
+    out = str(tmp_path / "out")
+    path = write(tmp_path / "in", a=sent)
+    (tmp_path / "in" / "bad.json").write_text("{no")
+    found = documents.read_whole(spark, path)
+    assert sinks.without_start(found).first()["not_json"] == 1
+    sinks.land_matches(found, out)
+    (line,) = spark.read.text(out).select("value").collect()
+    assert json.loads(line[0]) == sent
+    fields = documents.all_participant_fields(spark, out)
+    landed = documents.read_landed(spark, out, schemas.match_schema(fields))
+    players = flatten.flatten_players(landed, F.col("ds"))
+    assert rows(players.select("participantId", "championName", "challenges.other", "challenges.turretPlatesTaken")) == sorted(
+        ((i, f"c{i}", [i], None) for i in range(1, 11)), key=repr
+    )
 
 
 def test_staged_load_takes_the_date_from_the_path(spark, tmp_path):
