@@ -24,21 +24,24 @@ def replay_schedule(timelines: DataFrame, speed: int = 60) -> DataFrame:
     sum of the gaps before it.
     """
     stamps = F.transform("info.frames", lambda f: F.coalesce(f["timestamp"], F.lit(0)))
-    listed = timelines.select(F.col("metadata.matchId").alias("matchId"), stamps.alias("stamps"))
-    gaps = F.transform(
-        "stamps", lambda stamp, i: gap(stamp, F.when(i > 0, F.get("stamps", i - 1)))
-    )
-    sums = F.transform(
-        "gaps",
-        lambda _, i: F.aggregate(
-            F.slice("gaps", F.lit(1), i), F.lit(0).cast("long"), lambda total, g: total + g
-        ),
-    )
-    zipped = F.arrays_zip("stamps", "gaps", "offsets")
+    # One pass over the frames carries the last stamp and the sum of the gaps so far.
+    zero, frame = F.lit(0).cast("long"), "stamps: bigint, gaps: bigint, offsets: bigint"
+    none = F.array().cast(f"array<struct<{frame}>>")
+
+    def sent(state: Column, stamp: Column) -> Column:
+        own = gap(stamp, state["last"])
+        added = F.struct(stamp.alias("stamps"), own.alias("gaps"), state["sum"].alias("offsets"))
+        return F.struct(
+            stamp.alias("last"),
+            (state["sum"] + own).alias("sum"),
+            F.concat(state["frames"], F.array(added)).alias("frames"),
+        )
+
+    begin = F.struct(zero.alias("last"), zero.alias("sum"), none.alias("frames"))
+    frames = F.aggregate(stamps, begin, sent, lambda state: state["frames"])
     return (
-        listed.withColumn("gaps", gaps)
-        .withColumn("offsets", sums)
-        .select("matchId", F.posexplode(zipped).alias("frame_no", "f"))
+        timelines.select(F.col("metadata.matchId").alias("matchId"), frames.alias("frames"))
+        .select("matchId", F.posexplode("frames").alias("frame_no", "f"))
         .select(
             "matchId",
             "frame_no",

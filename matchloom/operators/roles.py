@@ -23,24 +23,6 @@ def role_of(feature: Column) -> Column:
     return chosen
 
 
-def role_of_name(feature: str) -> str | None:
-    """The same rule for a column name at plan time."""
-    name = feature.upper()
-    for role, keywords in domain.ROLE_KEYWORDS:
-        if any(k in name for k in keywords):
-            return role
-    return None
-
-
-def grouped_by_role(features: Sequence[str]) -> dict[str, list[str]]:
-    groups: dict[str, list[str]] = {role: [] for role in domain.ROLES}
-    for feature in features:
-        role = role_of_name(feature)
-        if role:
-            groups[role].append(feature)
-    return groups
-
-
 def abs_sum(columns: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, [F.abs(c) for c in columns])
 
@@ -70,7 +52,7 @@ def role_contribution(
         "CONTRIB_PCT",
         lambda part, total: F.round(ratio(part * 100.0, total), 2),
         100.0 / len(domain.ROLES),
-        0.0,
+        "double",
     )
 
 
@@ -88,26 +70,29 @@ def role_basis_points(
         "CONTRIB_BP",
         lambda part, total: rounded_ratio(part, total, 10_000),
         10_000 // len(domain.ROLES),
-        0,
+        "long",
     )
 
 
-def shares_over_all(rows, contributions, keep, name, share, equal, none) -> DataFrame:
-    groups = grouped_by_role(list(contributions))
-    sums = {r: abs_sum([contributions[f] for f in groups[r]]) for r in domain.ROLES if groups[r]}
+def shares_over_all(rows, contributions, keep, name, share, equal, kind) -> DataFrame:
+    def part_of(role: str) -> Column:
+        # The role of a literal name is a constant to Catalyst, so only its columns are summed.
+        parts = [
+            F.when(role_of(F.lit(name)) == role, F.abs(value)).otherwise(F.lit(0))
+            for name, value in contributions.items()
+        ]
+        return reduce(lambda a, b: a + b, parts)
+
     summed = rows.select(
         *keep,
         abs_sum(list(contributions.values())).alias("_total"),
-        *[value.alias(f"_{role}") for role, value in sums.items()],
+        *[part_of(role).alias(f"_{role}") for role in domain.ROLES],
     )
     total = F.col("_total")
-    empty = F.lit(equal).cast("long" if isinstance(none, int) else "double")
+    empty = F.lit(equal).cast(kind)
 
     def of(role: str) -> Column:
-        part = share(F.col(f"_{role}"), total) if role in sums else F.lit(none).cast(
-            "long" if isinstance(none, int) else "double"
-        )
-        return F.when(total == 0, empty).otherwise(part)
+        return F.when(total == 0, empty).otherwise(share(F.col(f"_{role}"), total))
 
     return long_roles(summed, keep, {role: of(role) for role in domain.ROLES}, name)
 

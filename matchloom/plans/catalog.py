@@ -155,6 +155,17 @@ def recent_match_ids(spark, sf_dir):
     )
 
 
+@query
+def recent_match_ids_of_day(spark, sf_dir):
+    """The same with one day's bounds in epoch seconds, all matches of a player."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_orderkey", F.call_function("div", epoch_millis(F.col("l_shipdate")), F.lit(1000)).alias("start")
+    )
+    return selection.recent_match_ids(
+        rows, None, "1997-05-28", player="l_suppkey", match="l_orderkey", start="start"
+    )
+
+
 @query
 def scan_one_day(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
@@ -264,21 +275,21 @@ def land_by_event_date(spark, sf_dir):
 @query
 def path_ds_load(spark, sf_dir):
     path = workspace.scratch(spark, "staged")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("ds"))
-    sinks.replace_partitions(orders, path)
-    return documents.read_staged(spark, path, schemas.record(o_orderkey=schemas.LONG))
+    events = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("ds"))
+    sinks.replace_partitions(events, path)
+    return documents.read_staged(spark, path, schemas.record(event_id=schemas.LONG))
 
 
 @query
 def replace_partition(spark, sf_dir):
-    """The table after its last day was replaced by rows of twice the price."""
+    """The table after its last day was replaced by rows of twice the value."""
     path = workspace.scratch(spark, "replaced")
-    rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", cents(F.col("o_totalprice")).alias("price"), F.to_date("o_orderdate").alias("ds")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", cents(F.col("value")).alias("amount"), F.to_date("ts").alias("ds")
     )
     sinks.replace_partitions(rows, path)
     last = rows.select(F.max("ds")).scalar()
-    changed = rows.where(F.col("ds") == last).withColumn("price", F.col("price") * 2)
+    changed = rows.where(F.col("ds") == last).withColumn("amount", F.col("amount") * 2)
     sinks.replace_partitions(changed, path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -351,6 +362,12 @@ def role_contribution(spark, sf_dir):
     return roles.role_basis_points(rows, contribution_columns())
 
 
+@query
+def role_contribution_pct(spark, sf_dir):
+    rows = image.contributions(spark, sf_dir)
+    return roles.role_contribution(rows, contribution_columns())
+
+
 @query
 def role_daily_mean(spark, sf_dir):
     shares = roles.role_basis_points(image.contributions(spark, sf_dir), contribution_columns())

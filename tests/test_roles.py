@@ -51,7 +51,6 @@ def test_share_over_listed_features(spark):
     ],
 )
 def test_role_of_a_name(spark, name, role):
-    assert roles.role_of_name(name) == role
     assert rows(spark.range(1).select(roles.role_of(F.lit(name)))) == [(role,)]
 
 
