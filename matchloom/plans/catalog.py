@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -576,6 +577,40 @@ def ml_win_model(spark, sf_dir):
     return model.transform(matches).select("DS", "MATCHID", "BLUE_TEAM_WIN", "prediction")
 
 
+SIGNS = ("TOP_KILLS_DIF", "JUNGLE_DRAGON_DIF", "MID_KILLS_DIF", "BOTTOM_GOLD_RATE_DIF")
+
+
+@query
+def ml_one_split(spark, sf_dir):
+    """One tree of one split on who leads in four differences: SQL finds the same split and leaves."""
+    signs = model_matches(spark, sf_dir).select(
+        "DS", "MATCHID", "BLUE_TEAM_WIN", *[(F.col(c) > 0).cast("int").alias(c) for c in SIGNS]
+    )
+    signs = workspace.stored(signs, "signs")
+    model = win_model.train_win_model(signs, maxIter=1, maxDepth=1, minInstancesPerNode=1)
+    return model.transform(signs).select("DS", "MATCHID", "prediction")
+
+
+@query
+def ml_shap_checks(spark, sf_dir):
+    """Of each match under the default model: its roles, whether their shares add up to 100, and
+    whether base and contributions add up to the margin."""
+    matches = model_matches(spark, sf_dir)
+    model = win_model.train_win_model(matches)
+    shares = influence.contributions(model, matches).groupBy("DS", "MATCHID").agg(
+        F.count("*").alias("roles"), (F.abs(F.sum("CONTRIB_PCT") - 100) <= 0.05).alias("shares_add_up")
+    )
+    valued, _ = explain.explain(model, selection.upper_columns(matches), ["DS", "MATCHID"])
+    summed = valued.select(
+        "DS", "MATCHID", (F.col("base") + F.aggregate("phi", F.lit(0.0), lambda t, x: t + x)).alias("sum")
+    )
+    margins = model.transform(matches).select("DS", "MATCHID", F.get(vector_to_array("rawPrediction"), F.lit(1)).alias("margin"))
+    adds_up = F.abs(F.col("sum") - F.col("margin")) < 1e-6
+    return shares.join(summed, ["DS", "MATCHID"]).join(margins, ["DS", "MATCHID"]).select(
+        "DS", "MATCHID", "roles", "shares_add_up", adds_up.alias("margin_adds_up")
+    )
+
+
 @query
 def ml_shap(spark, sf_dir):
     matches = model_matches(spark, sf_dir)

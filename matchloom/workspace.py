@@ -21,7 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(SHARED_DIR, None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {SHARED_DIR} to a folder that all executors share")
     return local_dir().name
 
