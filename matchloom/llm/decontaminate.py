@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from matchloom.llm.common import byte_size, free_name, utf8
+from matchloom.llm.common import byte_size, free_name, small_batches, utf8
 
 #: Words of a window.
 WINDOW = 10
@@ -178,6 +178,7 @@ def contamination(
     row. A null or empty benchmark finds nothing.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     none = "cast(array() as array<{}>)"
     rows = docs.select(
         *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)],

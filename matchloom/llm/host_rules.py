@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom import workspace
-from matchloom.llm.common import utf8
+from matchloom.llm.common import small_batches, utf8
 
 #: Base rules: fewest words, and the most percent of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -71,6 +71,8 @@ def measured(docs: DataFrame, key: str, host: str, text: str) -> DataFrame:
         F.col(text).cast("string").alias("text"),
     )
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [measure(value) for value in utf8(batch.column("text"))]

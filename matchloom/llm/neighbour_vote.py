@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from matchloom.llm.common import free_name, utf8
+from matchloom.llm.common import free_name, small_batches, utf8
 
 #: Most labelled documents of each label that the model is fitted on.
 MAX_PER_LABEL = 2048
@@ -200,6 +200,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", into: str = "sco
     Null and empty texts are scored by their statistics. Only the text enters a score.
     """
     into = free_name(docs, into)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields]).add(into, "double")
     arrow = to_arrow_schema(schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom import workspace
-from matchloom.llm.common import bounded, pieces, utf8
+from matchloom.llm.common import bounded, pieces, small_batches, utf8
 from matchloom.llm.components import components
 from matchloom.llm.shingles import mix, sets, shared
 
@@ -369,6 +369,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     row. A row without id, or without words, is linked with nothing: its component is its own id and
     it is kept. Empty input gives no rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = workspace.stored(sketched(docs, key, text), "sketches")
     named = rows.where("n_shingles > 0 and doc_id is not null")
     reps = workspace.stored(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")

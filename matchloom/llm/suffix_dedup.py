@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom import workspace
+from matchloom.llm.common import small_batches
 from matchloom.llm.shingles import BASE, INVERSE, mix, powers
 
 #: Bytes of a string that counts as repeated.
@@ -235,6 +236,7 @@ def repeats(texts: DataFrame, grams: tuple[int, ...] = GRAMS) -> DataFrame:
 
     ``texts``: ``r1, r2, text`` (binary), the same rows each time they are read.
     """
+    small_batches(texts.sparkSession)
     all_runs = texts.mapInArrow(
         partial(find_runs, gram=grams[0]), "r1 long, r2 long, start int, n int, gram long, stretch long"
     )
