@@ -35,6 +35,8 @@ TERMS = WORD_TERMS + SHAPE_TERMS + STAT_TERMS
 GROUPS = ((0, WORD_TERMS, 0.4), (WORD_TERMS, WORD_TERMS + SHAPE_TERMS, 1.0), (WORD_TERMS + SHAPE_TERMS, TERMS, 1.0))
 #: Latent dimensions, neighbours, and the power of the cosine.
 RANK, NEIGHBOURS, POWER = 64, 15, 8
+#: Documents scored at once; their dense weights take 32 kB each, several times.
+SCORED = 64
 #: Documents with at least this score are good.
 THRESHOLD = 0.3
 
@@ -208,8 +210,8 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", into: str = "sco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
+            for begin in range(0, batch.num_rows, SCORED):
+                part = batch.slice(begin, SCORED)
                 scores = model.scores(utf8(part.column(text).cast(pa.string())))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(scores, pa.float64())], schema=arrow

@@ -47,8 +47,8 @@ LIKELY = 0.55
 BLOCK, CENTRE_BLOCK = 2048, 16384
 #: Rows of a family are at least so near its centre, in equal registers.
 FAMILY = 0.7
-#: Text bytes sketched at once.
-PIECE = 2_000_000
+#: Text bytes sketched at once; a task needs about 100 times that.
+PIECE = 250_000
 
 #: Where each interval of values begins: the quantiles of the exponential distribution.
 INTERVAL = -np.log1p(-np.arange(REGISTERS) / REGISTERS) / RATE

@@ -20,7 +20,7 @@ POWERS = {BASE: np.ones(1, np.uint64), INVERSE: np.ones(1, np.uint64)}
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 to base**(n-1) modulo 2**64, kept between calls."""
     if len(POWERS[base]) < n:
-        row = np.full(max(n, 1 << 20), base, np.uint64)
+        row = np.full(max(n, 1 << 16), base, np.uint64)
         row[0] = 1
         POWERS[base] = np.cumprod(row)
     return POWERS[base][:n]
