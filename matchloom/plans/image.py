@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from matchloom import domain
 from matchloom.functions.numeric import cents
-from matchloom.functions.time import from_millis
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

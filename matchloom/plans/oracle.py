@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from matchloom import domain
-
 WEEK_MS = 604800000
 
 SLOTS = """

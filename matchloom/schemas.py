@@ -75,15 +75,6 @@ GOLD_MESSAGE = record(
     eventTs=LONG,
 )
 
-# A stored message: its fields, the event time and the partition date.
-GOLD_ROW = T.StructType(
-    [
-        *GOLD_MESSAGE.fields,
-        T.StructField("event_time", T.TimestampType()),
-        T.StructField("ds", T.DateType()),
-    ]
-)
-
 # All of a message table: good messages and, by their text, rejected ones.
 STORED_MESSAGE = T.StructType(
     [
