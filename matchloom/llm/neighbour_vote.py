@@ -91,7 +91,8 @@ def weighted(rows: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> np.n
         out[row, at] = np.log1p(counts) * idf[at]
     for begin, end, share in GROUPS:
         part = out[:, begin:end]
-        part *= share / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
+        length = np.sqrt(np.einsum("ij,ij->i", part, part))[:, None]  # without a copy of the part
+        part *= share / np.maximum(length, 1e-9)
     return out
 
 
@@ -177,20 +178,21 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
                 [
                     batch.column("y"),
                     batch.column("key").cast(pa.string()),
-                    pa.array([at for at, _ in made], pa.list_(pa.int32())),
-                    pa.array([counts for _, counts in made], pa.list_(pa.float32())),
+                    # As bytes: the driver would hold lists as an object for each number.
+                    pa.array([at.tobytes() for at, _ in made], pa.binary()),
+                    pa.array([counts.tobytes() for _, counts in made], pa.binary()),
                 ],
                 names=["y", "key", "at", "counts"],
             )
 
     found = (  # a key may repeat in documents, so the bound is set again
-        rows.mapInArrow(run, "y int, key string, at array<int>, counts array<float>")
+        rows.mapInArrow(run, "y int, key string, at binary, counts binary")
         .orderBy(F.md5("key"), "y", "at", "counts")
         .limit(2 * MAX_PER_LABEL)
         .collect()
     )
     return fit(
-        [(np.array(r["at"], np.int32), np.array(r["counts"], np.float32)) for r in found],
+        [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["counts"], np.float32)) for r in found],
         np.array([r["y"] for r in found], int),
         of_label,
     )
