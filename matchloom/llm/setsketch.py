@@ -15,7 +15,7 @@ register with about the probability of their Jaccard similarity.
 4. Links are confirmed on the full sets, in three rounds: each member with the centre of its family in the
    bucket; then with its likeliest partner in another component; then every likely pair that is still
    in different components. A group of copies is one component after the first round and has no pairs
-   in the others. The last round confirms inside the task that finds the pair, in one of the buckets
+   in the others. An id that repeats with other texts joins the classes of all of them. The last round confirms inside the task that finds the pair, in one of the buckets
    the two share, and gives out links only, so no pairs travel and no link is lost.
 """
 
@@ -362,6 +362,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def through_ids(named: DataFrame, reps: DataFrame) -> DataFrame | None:
+    """Links ``a > b`` of each id that has several texts with the classes of these texts."""
+    several = (
+        named.groupBy("doc_id")
+        .agg(*[f("k" + i).alias(n + i) for i in "12" for f, n in ((F.min, "lo"), (F.max, "hi"))])
+        .where("lo1 < hi1 or lo2 < hi2").select("doc_id")
+    )
+    several = workspace.stored(several, "repeated-ids")
+    if several.isEmpty():
+        return None
+    theirs = named.select("doc_id", "k1", "k2").join(bounded(several), "doc_id", "left_semi")
+    held = theirs.distinct().join(reps, ["k1", "k2"]).where("doc_id > rep")
+    return workspace.stored(held.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "id-links")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -403,6 +418,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     alone = members.join(classes, "rep").withColumn("component", F.col("rep"))
     tested = workspace.stored(pairs_apart(alone, "stars"), "pairs")
     links = workspace.stored(confirmed(tested, texts_of(tested)), "confirmed")
+    through = through_ids(named, reps)
+    if through is not None:
+        links = links.unionByName(through)
     found = components(links)
     for which in ("nearest", "every"):
         rows_left = workspace.stored(still_open(members, found), "open")

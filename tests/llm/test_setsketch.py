@@ -90,6 +90,17 @@ def test_small_blocks_change_nothing(spark, corpus, monkeypatch):
     assert got(spark, corpus[:90]) == brute_force(corpus[:90])
 
 
+def test_an_id_with_several_texts_joins_their_groups(spark):
+    draw = random.Random(5)
+    a, b, c, d = (words(draw, 40) for _ in range(4))
+    data = [(5, a), (7, a), (7, b), (9, b)]  # 7 is the least id of b, not of a
+    data += [(20, a), (21, c), (22, edited(draw, c, 1)), (30, a), (30, c), (30, d), (31, d), (25, d)]
+    data = [(key, " ".join(text)) for key, text in data] + [(7, ""), (40, "x y z"), (40, "x y z")]
+    made = got(spark, data)
+    assert made == brute_force(data)
+    assert {r[2] for r in made if r[1] and r[0] != 40} == {5}
+
+
 def test_empty_table(spark):
     assert got(spark, []) == []
 
