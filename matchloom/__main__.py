@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from matchloom import domain, schemas, workspace
 from matchloom.operators import replay, timeline
@@ -15,8 +16,9 @@ from matchloom.streaming import gold
 
 
 def players(spark: SparkSession, args) -> None:
-    participant = schemas.PARTICIPANT
-    if args.all_fields:
+    if args.fields:
+        participant = StructType.fromDDL(args.fields)
+    else:
         participant = documents.all_participant_fields(spark, args.input, multi_line=not args.lines)
     found = documents.read_matches(spark, args.input, participant, multi_line=not args.lines)
     daily.stage_players(found, args.ds, args.output)
@@ -112,7 +114,9 @@ def parser() -> argparse.ArgumentParser:
 
     made = job("players", players, "input", "output", "ds")
     made.add_argument("--lines", action="store_true", help="input is JSON Lines")
-    made.add_argument("--all-fields", action="store_true", help="find all fields by reading all documents first")
+    fields = made.add_mutually_exclusive_group()
+    fields.add_argument("--all-fields", action="store_true", help="find all fields by reading all documents first; the default")
+    fields.add_argument("--fields", help="schema (DDL) of the participant fields to take instead, without that pass")
 
     made = job("gold", gold_batch, "input", "output")
     made.add_argument("--ds", help="partition by this day, else by match")

@@ -58,6 +58,22 @@ def flatten_players(spark, sf_dir):
     return flat_challenges(flatten.flatten_players(matches, start))
 
 
+@query
+def flatten_all_fields(spark, sf_dir):
+    """Documents with an undeclared participant field, written and read as the players job reads them."""
+    root = workspace.scratch(spark, "written")
+    matches = image.match_documents(spark, sf_dir)
+    noted = F.transform(
+        "info.participants", lambda p: p.withField("note", F.concat(F.lit("n"), p["participantId"].cast("string")))
+    )
+    sent = matches.withColumn("info", F.col("info").withField("participants", noted))
+    sent.select(F.to_json(F.struct(*sent.columns)).alias("value")).write.text(f"{root}/in")
+    participant = documents.all_participant_fields(spark, f"{root}/in")
+    found = documents.read_matches(spark, f"{root}/in", participant, multi_line=False)
+    start = time.utc_date(F.col("info.gameStartTimestamp"))
+    return flat_challenges(flatten.flatten_players(found, start))
+
+
 @query
 def gold_timeline(spark, sf_dir):
     rows = timeline.gold_timeline(image.timelines(spark, sf_dir), missing="zero")

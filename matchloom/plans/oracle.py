@@ -217,6 +217,14 @@ SELECT matchid AS "matchId", seconds AS "gameDuration", pid AS "participantId",
   damage AS "totalDamageDealtToChampions", vision AS "visionScore", wards AS "wardsPlaced",
   cc AS "timeCCingOthers", dragon AS "dragonKills", baron AS "baronKills", ds, solo AS "soloKills",
   plates AS "turretPlatesTaken", herald AS "riftHeraldTakedowns", heal AS "effectiveHealAndShielding"
+FROM players""",
+    "flatten_all_fields": f"""WITH {SLOTS}
+SELECT matchid AS "matchId", seconds AS "gameDuration", pid AS "participantId", team AS "teamId",
+  position AS "teamPosition", won AS win, kills, assists, gold AS "goldEarned",
+  damage AS "totalDamageDealtToChampions", vision AS "visionScore", wards AS "wardsPlaced",
+  cc AS "timeCCingOthers", dragon AS "dragonKills", baron AS "baronKills", 'n' || pid AS note, ds,
+  solo AS "soloKills", plates AS "turretPlatesTaken", herald AS "riftHeraldTakedowns",
+  heal AS "effectiveHealAndShielding"
 FROM players""",
     "gold_timeline": gold_sql("zero"),
     "gold_timeline_strict": gold_sql("null"),

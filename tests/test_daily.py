@@ -156,6 +156,17 @@ def test_jobs(spark, tmp_path, capsys):
     assert gold.latest_changes(spark, str(tmp_path / "shown")).count() == 2
 
 
+def test_players_job_keeps_all_fields(spark, tmp_path):
+    docs = write(tmp_path / "m", a=match("M_1", 0, change=lambda i: {"extra": i}), b=match("M_2", 0))
+    job = ("players", "--input", docs, "--ds", "2024-05-01", "--output")
+    run_job(spark, *job, tmp_path / "all")
+    made = spark.read.parquet(str(tmp_path / "all")).where("matchId = 'M_1'")
+    assert rows(made, "extra") == sorted([(i,) for i in range(1, 11)], key=repr)
+    run_job(spark, *job, tmp_path / "fixed", "--fields", "participantId int, extra long")
+    fixed = spark.read.parquet(str(tmp_path / "fixed"))
+    assert fixed.columns == ["matchId", "gameDuration", "participantId", "extra", "ds"] and fixed.count() == 20
+
+
 def test_influence_jobs(spark, ran, tmp_path, capsys):
     root, found, _ = ran
     table = root / "mart" / "match_features"
