@@ -65,27 +65,26 @@ def replay_delay(
     unique integer column. ``offset_ms`` sums the gaps before the row's own.
 
     Two levels instead of one window per key: inside a bucket of the order, then
-    over the buckets' edges. See ``BUCKET``. Rows without key or order are left out.
+    over the buckets' edges. See ``BUCKET``. Rows without key are a group like any other.
+    Rows without order are in no sequence: they come back with null in the three columns.
     """
+    # Structs with a null inside are equal to each other, so the join below keeps the null key.
+    placed = rows.where(F.col(order).isNotNull()).withColumn("_key", F.struct(key))
     part = F.call_function("div", F.col(order), F.lit(bucket))
-    inside = Window.partitionBy(key, "_bucket").orderBy(order)
+    inside = Window.partitionBy("_key", "_bucket").orderBy(order)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    # Stated here, and not left to the join below to infer for one side only, so that
-    # both uses of these rows are the same shuffle.
-    known = F.col(key).isNotNull() & F.col(order).isNotNull()
     inner = (
-        rows.where(known)
-        .withColumn("_bucket", part)
+        placed.withColumn("_bucket", part)
         .withColumn("_prev", F.lag(stamp).over(inside))
         .withColumn("_opens", F.row_number().over(inside) == 1)
         .withColumn("_gap", F.when(F.col("_opens"), 0).otherwise(gap(F.col(stamp), F.col("_prev"))))
         .withColumn("_offset", F.coalesce(F.sum("_gap").over(before), F.lit(0)))
     )
 
-    across = Window.partitionBy(key).orderBy("_bucket")
+    across = Window.partitionBy("_key").orderBy("_bucket")
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     edges = (
-        inner.groupBy(key, "_bucket")
+        inner.groupBy("_key", "_bucket")
         .agg(
             F.min_by(stamp, order).alias("_first"),
             F.max_by(stamp, order).alias("_last"),
@@ -93,7 +92,7 @@ def replay_delay(
         )
         .withColumn("_entry", gap(F.col("_first"), F.lag("_last").over(across)))
         .withColumn("_carried", F.coalesce(F.sum(F.col("_entry") + F.col("_sum")).over(earlier), F.lit(0)))
-        .select(key, "_bucket", "_entry", "_carried")
+        .select("_key", "_bucket", "_entry", "_carried")
     )
 
     opens = F.col("_opens")
@@ -101,9 +100,11 @@ def replay_delay(
     offset = F.when(opens, F.col("_carried")).otherwise(
         F.col("_carried") + F.col("_entry") + F.col("_offset")
     )
-    return inner.join(edges, [key, "_bucket"]).select(
+    found = inner.join(edges, ["_key", "_bucket"]).select(
         *rows.columns,
         own_gap.alias("gap_ms"),
         (own_gap / 1000 / speed).alias("delay_s"),
         offset.alias("offset_ms"),
     )
+    added = [F.lit(None).cast(found.schema[n].dataType).alias(n) for n in found.columns[len(rows.columns) :]]
+    return found.unionByName(rows.where(F.col(order).isNull()).select(*rows.columns, *added))

@@ -96,6 +96,18 @@ def test_replay_delay_equals_plain_windows(skewed, bucket):
     assert one is None or one["delay_s"] == pytest.approx(0.01)
 
 
+def test_replay_delay_keeps_rows_without_key_or_order(spark):
+    data = [(None, 2, 50), (None, 1, 30), (None, 9, 90), (1, 1, 10), (1, None, 5), (None, None, 7), (1, 3, 40)]
+    made = replay.replay_delay(spark.createDataFrame(data, "key long, id long, ms long"), "key", "id", "ms", bucket=4)
+    assert rows(made, "key", "id", "gap_ms", "offset_ms") == sorted(
+        [
+            (None, 1, 30, 0), (None, 2, 20, 30), (None, 9, 40, 50), (None, None, None, None),
+            (1, 1, 10, 0), (1, 3, 30, 10), (1, None, None, None),
+        ],
+        key=repr,
+    )
+
+
 def test_schedule_sends_a_frame_after_the_gaps_before_it(spark):
     from matchloom import schemas
 
