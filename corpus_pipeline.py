@@ -36,7 +36,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns, nameless=True)
     return found.where(~F.col(found.columns[-1])).select(*found.columns[: len(docs.columns)])
 
 

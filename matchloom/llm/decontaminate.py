@@ -110,7 +110,7 @@ def scan(
                     starts[row].append(start)
                     ends[row].append(start + patterns.length)
                     items[row].extend(patterns.items[pattern])
-            items[row] = sorted(set(items[row]))
+            items[row] = sorted(set(items[row]), key=lambda x: (x is None, x))
         columns = [batch.column(name) for name in schema.names[:-3]]
         columns += [
             pa.array(values, schema.field(name).type)
@@ -140,15 +140,15 @@ def digest(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.
             pa.array(counts, pa.int64()),
             pa.array(hits, pa.int64()),
             pa.array([len(x) for x in items], pa.int64()),
-            pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
+            pa.array([hashlib.sha256(",".join(i for i in x if i is not None).encode()).hexdigest() for x in items]),
             pa.array([hit > 0 for hit in hits]),
         ]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-def blocks(benchmark: DataFrame, key: str, text: str, most: int) -> Iterator[list]:
+def blocks(benchmark: DataFrame, key: str, text: str, most: int, nameless: bool) -> Iterator[list]:
     """Items as lists of (id, UTF-8 text), each list of about ``most`` bytes or less, one item at least."""
-    items = benchmark.where(F.col(text).isNotNull() & F.col(key).isNotNull())
+    items = benchmark.where(F.col(text).isNotNull() & (F.lit(nameless) | F.col(key).isNotNull()))
     total = items.agg(F.sum(byte_size(F.col(text)))).first()[0] or 0
     parts = max(1, -(-total * 2 // most)) if total > most else 1
     for part in range(parts):
@@ -169,13 +169,15 @@ def contamination(
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    nameless: bool = False,
 ) -> DataFrame:
     """One row per document: the columns ``keep``, then the counts of the contract.
 
     ``n_words``, ``n_hit`` (words inside any occurrence), ``n_items``, ``items_sha256`` and
     ``contaminated``, each with an underscore more if ``keep`` has the name. Null and empty texts
-    have no words; items without id, text or words have no windows. Repeated rows each get their
-    row. A null or empty benchmark finds nothing.
+    have no words; items without text or words have no windows. With ``nameless`` items without an id
+    are searched too: together they count as one in ``n_items`` and are in no ``items_sha256``; else
+    they are left out. Repeated rows each get their row. A null or empty benchmark finds nothing.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -188,7 +190,7 @@ def contamination(
         F.expr(none.format("string")).alias("items"),
     )
     arrow = to_arrow_schema(rows.schema)
-    for items in blocks(benchmark, item, item_text, block_bytes):
+    for items in blocks(benchmark, item, item_text, block_bytes, nameless):
         shared = spark.sparkContext.broadcast(tables(items, window))
         rows = rows.mapInArrow(partial(scan, shared=shared, schema=arrow), rows.schema)
     kept = rows.select(*[f"keep_{i}" for i in range(len(keep))])

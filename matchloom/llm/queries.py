@@ -34,7 +34,7 @@ def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"], nameless=True
     )
 
 

@@ -7,7 +7,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from matchloom.llm import decontaminate, host_rules, line_dedup, shards, url_filter
+import corpus_pipeline
+from matchloom.llm import decontaminate, host_rules, line_dedup, queries, shards, url_filter
 from tests.conftest import rows
 
 TEXTS = [
@@ -97,6 +98,23 @@ def test_contamination_equals_brute_force(spark, block_bytes):
     assert sorted((tuple(r) for r in made.collect()), key=repr) == expected
 
 
+def test_items_without_id_are_searched(spark, tmp_path):
+    docs = [(1, "x a b c"), (2, "a b"), (3, "c d e"), (4, "y"), (5, "a b c d e")]
+    items = [(None, "a b"), (None, "d e"), (7, "c"), (8, "b c")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def sha(ids):
+        return hashlib.sha256(ids.encode()).hexdigest()
+
+    assert rows(queries.op2_decontaminate(spark, str(tmp_path))) == [
+        (1, 4, 3, 3, sha("7,8"), True), (2, 2, 2, 1, sha(""), True), (3, 3, 3, 2, sha("7"), True),
+        (4, 1, 0, 0, sha(""), False), (5, 5, 5, 3, sha("7,8"), True),
+    ]
+    left = corpus_pipeline.uncontaminated(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert rows(left, "doc_id") == [(4,)]
+
+
 def test_names_that_clash(spark):
     docs = spark.createDataFrame([(1, "a b", 9)], "doc_id long, text string, n_words long")
     items = spark.createDataFrame([(1, "b")], "item_id long, text string")
