@@ -9,8 +9,9 @@ same least gram, in the same place, are one run and travel as one stretch of tex
    for a run, about one run for 85 bytes, and no text.
 2. Runs of one gram that are all the same stretch repeat as a whole.
 3. Of the others each distinct stretch is fetched once. The suffixes of a gram's stretches are sorted
-   deep-shallow: a multikey quicksort on 8-byte characters, all open segments of a depth at once, to
-   ``SHALLOW`` bytes; what is still together has a long common prefix and goes into blind tries, which
+   deep-shallow: by 8-byte characters, one ``np.lexsort`` over all open segments for each depth, to
+   ``SHALLOW`` bytes, and not a multikey quicksort with three-way partitions: a sort of whole arrays
+   takes the place of a Python step for each segment and pivot. The order is the same; what is still together has a long common prefix and goes into blind tries, which
    compare each suffix with one other.
 4. A gram with more than ``GROUP`` different stretches is not sorted in one task. Its stretches are
    dealt again by longer grams, at last by whole strings, of which no two stretches differ.
@@ -37,7 +38,7 @@ from matchloom.llm.shingles import BASE, INVERSE, mix, powers
 LENGTH = 200
 #: Bytes of the grams by which suffixes are dealt, and dealt again where a gram is too frequent.
 GRAMS = (32, 128, LENGTH)
-#: Depth of the quicksort.
+#: Depth of the shallow sort.
 SHALLOW = 40
 #: Most different stretches of a gram that one task sorts.
 GROUP = 4096
