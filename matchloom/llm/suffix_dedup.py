@@ -11,8 +11,8 @@ same least gram, in the same place, are one run and travel as one stretch of tex
 3. Of the others each distinct stretch is fetched once. The suffixes of a gram's stretches are sorted
    deep-shallow: by 8-byte characters, one ``np.lexsort`` over all open segments for each depth, to
    ``SHALLOW`` bytes, and not a multikey quicksort with three-way partitions: a sort of whole arrays
-   takes the place of a Python step for each segment and pivot. The order is the same; what is still together has a long common prefix and goes into blind tries, which
-   compare each suffix with one other.
+   takes the place of a Python step for each segment and pivot. The order is the same; what is still
+   together has a long common prefix and goes into blind tries, which compare each suffix with one other.
 4. A gram with more than ``GROUP`` different stretches is not sorted in one task. Its stretches are
    dealt again by longer grams, at last by whole strings, of which no two stretches differ.
 
