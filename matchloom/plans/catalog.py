@@ -311,6 +311,29 @@ def replace_partition(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@query
+def path_ds_load_orders(spark, sf_dir):
+    """The same load over all order dates: a folder for each of some 2,400 days."""
+    path = workspace.scratch(spark, "staged-orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("ds"))
+    sinks.replace_partitions(orders, path)
+    return documents.read_staged(spark, path, schemas.record(o_orderkey=schemas.LONG))
+
+
+@query
+def replace_partition_orders(spark, sf_dir):
+    """The same replacement over all order dates."""
+    path = workspace.scratch(spark, "replaced-orders")
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", cents(F.col("o_totalprice")).alias("amount"), F.to_date("o_orderdate").alias("ds")
+    )
+    sinks.replace_partitions(rows, path)
+    last = rows.select(F.max("ds")).scalar()
+    changed = rows.where(F.col("ds") == last).withColumn("amount", F.col("amount") * 2)
+    sinks.replace_partitions(changed, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 # --- features ------------------------------------------------------------------------
 
 

@@ -310,6 +310,13 @@ WITH r AS (
   SELECT event_id, round(value * 100)::BIGINT AS amount, ts::DATE AS ds FROM events
 )
 SELECT event_id, CASE WHEN ds = (SELECT max(ds) FROM r) THEN 2 * amount ELSE amount END AS amount, ds
+FROM r""",
+    "path_ds_load_orders": "SELECT o_orderkey, o_orderdate::DATE AS ds FROM orders",
+    "replace_partition_orders": """
+WITH r AS (
+  SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS amount, o_orderdate::DATE AS ds FROM orders
+)
+SELECT o_orderkey, CASE WHEN ds = (SELECT max(ds) FROM r) THEN 2 * amount ELSE amount END AS amount, ds
 FROM r""",
     "player_rate_features": PLAYER_FEATURES,
     "player_rate_nested": PLAYER_FEATURES,
