@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from matchloom.llm import (
+    conversations,
     decontaminate,
     host_rules,
     line_dedup,
@@ -14,7 +17,9 @@ from matchloom.llm import (
     revisits,
     setsketch,
     shards,
+    spelling,
     suffix_dedup,
+    token_files,
     url_filter,
 )
 from matchloom.llm.common import table
@@ -27,6 +32,9 @@ URL_RULES = [
     ("allow", "org/fr/"),
 ]
 
+#: The tokenizer file of the token query; executors have it at the same path.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents"))
@@ -125,6 +133,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.misspelt(table(spark, sf_dir, "documents")))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damaged(rows), rows.select("conv_id"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.report(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2).select(
+        "doc_id", "start", "n_tokens", "ids_crc32"
+    )
+
+
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_decontaminate": op2_decontaminate,
@@ -136,4 +159,7 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_raking": op9_raking,
     "op10_url_filter": op10_url_filter,
+    "op11_spelling": op11_spelling,
+    "op12_conversations": op12_conversations,
+    "op13_token_files": op13_token_files,
 }

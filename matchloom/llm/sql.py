@@ -260,6 +260,137 @@ SELECT page_id, host, path, rule, CASE
 FROM r
 """
 
+# The table of the CRC-32 polynomial, and the unsigned checksum of a blob by it.
+CRC_TABLE = """
+tab(i, v, k) AS (
+  SELECT i::BIGINT, i::BIGINT, 0 FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM tab WHERE k < 8
+), crc AS (
+  SELECT list(v ORDER BY i) AS t FROM tab WHERE k = 8
+)"""
+
+
+def crc32(blob: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(octet_length({blob})), lambda i: ('0x' || substr(hex({blob}), 2 * i::INT + 1, 2))::BIGINT)),
+    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295)"""
+
+
+# Near words: of one length and alike but for one place, or one is the other less one place.
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE}, r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{7,}}')) AS run FROM documents
+), g AS (
+  SELECT id, run, count(*) AS n FROM r GROUP BY id, run
+), e AS (
+  SELECT run, n, encode(id || ':' || run) AS b FROM g
+), h AS (
+  SELECT run, n, {crc32("b")} AS h FROM e, crc
+), w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+    n FROM h
+), v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), p AS (
+  SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM v
+), d AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM p
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, d.n, v.word, v.n FROM d JOIN v ON v.word = d.less
+  UNION SELECT v.word, v.n, d.word, d.n FROM d JOIN v ON v.word = d.less
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS best, max(other_n) AS best_n FROM near GROUP BY word
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 10 * v.n THEN best END AS form,
+    CASE WHEN best_n >= 10 * v.n THEN best_n END::BIGINT AS form_n FROM v LEFT JOIN best ON v.word = best.word
+), way(word, root, k) AS (
+  SELECT word, word, 0 FROM f UNION ALL SELECT way.word, f.form, k + 1 FROM way JOIN f ON f.word = way.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(root, k) AS root FROM way GROUP BY word
+)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends ON ends.word = f.word
+"""
+
+
+def edit(cost: str, letter: str, text: str, after: str) -> str:
+    """A way that begins with an edit: its cost in twelve digits and its audit in one key, and its text."""
+    return (
+        f"struct_pack(k := lpad((substr({after}.k, 1, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || '{letter}' "
+        f"|| substr({after}.k, 13), t := {text} || {after}.t)"
+    )
+
+
+def cheaper(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+UNREACHED = "struct_pack(k := '000900000000', t := '')"
+NEW_USER, NEW_ASSISTANT = "(chr(10) || 'user:')", "(chr(10) || 'assistant:')"
+
+
+def row_edits(state: str) -> str:
+    """The cheapest way of a state that begins with an edit of the row."""
+    next_, name = ("ha", "assistant") if state == "hu" else ("hu", "user")
+    ways = {"h0": {"s": "hs", "u": "hu"}, "hs": {"u": "hu"}, "hu": {"a": "ha"}, "ha": {"u": "hu"}}[state]
+    keep = " ".join(
+        f"WHEN ini = '{i}' AND NOT gone THEN " + edit("more", "K", "(chr(10) || role || ':' || text)", to) for i, to in ways.items()
+    )
+    delete = edit("4", "D", "''", state)
+    rerole = f"CASE WHEN NOT gone THEN {edit('3 + more', 'R', f'(chr(10) || {chr(39)}{name}:{chr(39)} || text)', next_)} ELSE {UNREACHED} END"
+    return cheaper(delete, rerole, f"CASE {keep} ELSE {UNREACHED} END")
+
+
+def inserted(next_: str, text: str) -> str:
+    return edit("3", "I", text, next_)
+
+
+# From the last row to the first: the cheapest way to the end from each of four states.
+CONVERSATIONS = rf"""
+WITH RECURSIVE {CRC_TABLE}, c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS b FROM conversations
+), kind AS (
+  SELECT conv_id, turn, role, text, {crc32("b")} % 20 AS kind FROM c, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE kind WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM kind
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), md5(text), copy) AS i FROM damaged
+), faults AS (
+  SELECT conv_id, i, turn, role, text, substr(role, 1, 1) AS ini, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut FROM placed
+), f AS (
+  SELECT conv_id, i, turn, role, text, ini, blank, NOT blank AND again AS duplicate, NOT blank AND NOT again AND cut AS truncated,
+    blank OR again AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS more,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair, i > 1 AS has_pair FROM faults
+), sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (has_pair AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id
+), ends AS (
+  SELECT struct_pack(k := '000000000000', t := '') AS done, struct_pack(k := '000000000003I', t := {NEW_ASSISTANT}) AS hu,
+    struct_pack(k := '000000000006II', t := {NEW_USER} || {NEW_ASSISTANT}) AS hs
+), way(conv_id, i, h0, hs, hu, ha) AS (
+  SELECT conv_id, n, done, hs, hu, done FROM sums, ends
+  UNION ALL
+  SELECT conv_id, i, {cheaper("g0", inserted("u", NEW_USER))}, {cheaper("gs", inserted("u", NEW_USER))}, u, a FROM (
+    SELECT *, {cheaper("gu", inserted("ga", NEW_ASSISTANT))} AS u, {cheaper("ga", inserted("gu", NEW_USER))} AS a FROM (
+      SELECT way.conv_id, way.i - 1 AS i, {row_edits("h0")} AS g0, {row_edits("hs")} AS gs, {row_edits("hu")} AS gu,
+        {row_edits("ha")} AS ga FROM way JOIN f ON f.conv_id IS NOT DISTINCT FROM way.conv_id AND f.i = way.i))
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(substr(h0.k, 1, 12)::BIGINT, 0) AS cost, coalesce(substr(h0.k, 13), '') AS audit,
+  sha256(coalesce(substr(h0.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN way ON way.conv_id IS NOT DISTINCT FROM o.conv_id AND way.i = 0
+"""
+
 SQL = {
     "op1_host_rules": HOST_RULES,
     "op2_decontaminate": DECONTAMINATE,
@@ -269,4 +400,6 @@ SQL = {
     "op8_shards": SHARDS,
     "op9_raking": RAKING,
     "op10_url_filter": URL_FILTER,
+    "op11_spelling": SPELLING,
+    "op12_conversations": CONVERSATIONS,
 }
