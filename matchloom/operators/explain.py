@@ -2,17 +2,19 @@
 
 Path-dependent tree SHAP (Lundberg et al., 2018). A leaf of value c is reached
 through the features on its path. For feature j, o_j says whether a row passes
-all its tests on the path and z_j is the share of training rows that do. With d
-distinct features there are 2^d outcomes of o and so a table of 2^d rows of phi
-per leaf, made once on the driver; a row then costs a lookup per leaf.
+all its tests on the path and z_j is the share of training rows that do.
+
+The values of one outcome of o come from a polynomial: the weights of all subsets
+by size, extended by one feature of the path after the other, and unwound by each
+feature in turn, O(d^2) for d distinct features. Rows with one outcome have one
+result. On short paths a task makes a table of all 2^d outcomes and looks rows
+up; on long ones it computes the outcomes that occur in a batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations
-from math import factorial
 
 import numpy as np
 import pyarrow as pa
@@ -47,26 +49,45 @@ class Leaf:
     path: tuple[tuple[Split, bool, float], ...]
 
 
-def shapley_table(leaf: Leaf) -> tuple[list[int], np.ndarray]:
-    """Distinct path features, and phi per outcome pattern and feature."""
-    features = sorted({test.feature for test, _, _ in leaf.path})
-    d = len(features)
-    z = np.array(
-        [np.prod([s for t, _, s in leaf.path if t.feature == f]) for f in features], dtype=float
-    )
-    patterns = (np.arange(2**d)[:, None] >> np.arange(d)) & 1
-    phi = np.zeros((2**d, d))
-    for i in range(d):
-        others = [j for j in range(d) if j != i]
-        for size in range(d):
-            weight = factorial(size) * factorial(d - size - 1) / factorial(d)
-            for inside in combinations(others, size):
-                outside = [j for j in others if j not in inside]
-                passed = patterns[:, list(inside)].prod(axis=1)
-                phi[:, i] += (
-                    weight * leaf.value * (patterns[:, i] - z[i]) * passed * z[outside].prod()
-                )
-    return features, phi
+#: Distinct features up to which a path gets a table of all outcomes.
+TABLE_FEATURES = 6
+
+
+def path_parts(leaf: Leaf) -> tuple[list[int], np.ndarray]:
+    """Distinct features of a path, and the share of rows that pass all tests of each."""
+    shares: dict[int, float] = {}
+    for test, _, share in leaf.path:
+        shares[test.feature] = shares.get(test.feature, 1.0) * share
+    features = sorted(shares)
+    return features, np.array([shares[f] for f in features])
+
+
+def path_values(value: float, z: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """Phi of a leaf, per outcome (a row of ``o``) and feature."""
+    d = len(z)
+    o = o.astype(float)
+    # weights[:, i]: all subsets of i features, with the part that a Shapley value gives them.
+    weights = np.zeros((len(o), d + 1))
+    weights[:, 0] = 1.0
+    for k in range(d):
+        for i in range(k, -1, -1):
+            weights[:, i + 1] += o[:, k] * weights[:, i] * (i + 1) / (k + 2)
+            weights[:, i] *= z[k] * (k + 1 - i) / (k + 2)
+    phi = np.empty((len(o), d))
+    for k in range(d):
+        passed, failed, rest = np.zeros(len(o)), np.zeros(len(o)), weights[:, d].copy()
+        for i in range(d - 1, -1, -1):
+            without = rest * (d + 1) / (i + 1)
+            passed += without
+            rest = weights[:, i] - without * z[k] * (d - i) / (d + 1)
+            if z[k]:
+                failed += weights[:, i] / (z[k] * (d - i) / (d + 1))
+        phi[:, k] = np.where(o[:, k] > 0, passed, failed) * (o[:, k] - z[k]) * value
+    return phi
+
+
+def all_outcomes(d: int) -> np.ndarray:
+    return (np.arange(2**d)[:, None] >> np.arange(d)) & 1
 
 
 def base_value(leaves: Sequence[Leaf]) -> float:
@@ -112,22 +133,22 @@ def shap_values(
     Reads only the kept columns and the features, in Arrow batches, without a
     shuffle. A missing feature value takes the right branch.
     """
-    tables = [(leaf.path, *shapley_table(leaf)) for leaf in leaves if leaf.path]
-    tests = list(dict.fromkeys(test for path, _, _ in tables for test, _, _ in path))
+    paths = [(leaf, *path_parts(leaf)) for leaf in leaves if leaf.path]
+    tests = list(dict.fromkeys(test for leaf, _, _ in paths for test, _, _ in leaf.path))
     number = {test: i for i, test in enumerate(tests)}
     compiled = [
-        (
-            used,
-            [[(number[t], left) for t, left, _ in path if t.feature == f] for f in used],
-            np.ascontiguousarray(phi.T),
-        )
-        for path, used, phi in tables
+        (leaf.value, used, z, [[(number[t], left) for t, left, _ in leaf.path if t.feature == f] for f in used])
+        for leaf, used, z in paths
     ]
     base = base_value(leaves)
     width = len(features)
     kept = len(keep)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [
+            path_values(value, z, all_outcomes(len(used))) if len(used) <= TABLE_FEATURES else None
+            for value, used, z, _ in compiled
+        ]
         for batch in batches:
             size = batch.num_rows
             columns = [
@@ -137,17 +158,25 @@ def shap_values(
             left = [test.goes_left(columns[test.feature]) for test in tests]
             right = [~side for side in left]
             phi = np.zeros((width, size))
-            for used, conditions, table in compiled:
-                pattern = np.zeros(size, dtype=np.uint64 if len(used) > 8 else np.uint8)
-                for bit, needed in enumerate(conditions):
+            for (value, used, z, conditions), table in zip(compiled, tables):
+                outcome = []
+                for needed in conditions:
                     passed = None
                     for test, goes_left in needed:
                         side = left[test] if goes_left else right[test]
                         passed = side if passed is None else passed & side
-                    pattern |= passed.astype(pattern.dtype) << pattern.dtype.type(bit)
-                outcome = pattern.astype(np.intp)
+                    outcome.append(passed)
+                if table is None:
+                    found, at = np.unique(np.stack(outcome, axis=1), axis=0, return_inverse=True)
+                    values = path_values(value, z, found)
+                    at = at.ravel()
+                else:
+                    at = np.zeros(size, np.uint8)
+                    for bit, passed in enumerate(outcome):
+                        at |= passed.astype(np.uint8) << np.uint8(bit)
+                    at, values = at.astype(np.intp), table
                 for bit, feature in enumerate(used):
-                    phi[feature] += table[bit][outcome]
+                    phi[feature] += values[:, bit][at]
             offsets = pa.array(np.arange(size + 1, dtype=np.int32) * width)
             values = pa.ListArray.from_arrays(offsets, pa.array(phi.T.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
@@ -169,8 +198,14 @@ def shap_values(
 def explain(
     model: PipelineModel, rows: DataFrame, keep: Sequence[str]
 ) -> tuple[DataFrame, list[str]]:
-    """SHAP values of a fitted model on rows, and the feature of each place in ``phi``."""
+    """SHAP values of a fitted model on rows, and the feature of each place in ``phi``.
+
+    The model is a pipeline, or one that gives its own ``leaves``, ``names`` and ``ready`` rows.
+    """
     spark = rows.sparkSession
+    if not isinstance(model, PipelineModel):
+        columns = [f"_f{i}" for i in range(len(model.names()))]
+        return shap_values(model.ready(rows), columns, model.leaves(), keep), model.names()
     names = win_model.feature_columns(model)
     ready = win_model.with_feature_columns(model, rows)
     valued = shap_values(ready, names, leaves_of(spark, model), keep)

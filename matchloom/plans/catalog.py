@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from matchloom import domain, schemas, workspace
 from matchloom.functions import numeric, text, time
 from matchloom.operators import (
+    boosting,
     explain,
     features,
     flatten,
@@ -630,6 +632,61 @@ def ml_one_split(spark, sf_dir):
     return model.transform(signs).select("DS", "MATCHID", "prediction")
 
 
+#: Features of small whole numbers, whose every value is a bin.
+WHOLE = ("SOLOKILLS", "PLATES", "DRAGON", "BARONKILLS", "RIFTHERALD")
+
+
+def node_rows(model: boosting.Model, spark: SparkSession) -> DataFrame:
+    return model.nodes(spark).withColumns(
+        {"categories": F.array_join("categories", ","), "gain": F.round("gain", 6), "value": F.round("value", 9)}
+    )
+
+
+@query
+def ml_leafwise_trees(spark, sf_dir):
+    """Splits and leaves of the first trees of the leaf-wise win model."""
+    names = [f"{p}_{n}_DIF" for p in features.PREFIX.values() for n in WHOLE]
+    matches = features.match_features(image.players(spark, sf_dir), names)
+    rows = workspace.stored(matches.select("BLUE_TEAM_WIN", *names).na.fill(0.0, names), "differences")
+    return node_rows(boosting.train(rows, names, "BLUE_TEAM_WIN", trees=2, leaves=6), spark)
+
+
+def whole_players(spark, sf_dir):
+    players = features.player_features(image.players(spark, sf_dir))
+    return workspace.stored(players.select("WIN", "TEAMPOSITION", *WHOLE), "whole-players")
+
+
+@query
+def ml_leafwise_positions(spark, sf_dir):
+    """One leaf-wise model over all positions, with the position as a category."""
+    names = [*WHOLE, "TEAMPOSITION"]
+    model = boosting.train(whole_players(spark, sf_dir), names, "WIN", ["TEAMPOSITION"], trees=2, leaves=6)
+    return node_rows(model, spark)
+
+
+@query
+def ml_leafwise_per_position(spark, sf_dir):
+    """A leaf-wise model per position."""
+    players = whole_players(spark, sf_dir)
+    made = [
+        node_rows(boosting.train(players.where(F.col("TEAMPOSITION") == p), WHOLE, "WIN", trees=1, leaves=4), spark).select(
+            F.lit(p).alias("TEAMPOSITION"), "*"
+        )
+        for p in domain.POSITIONS
+    ]
+    return reduce(DataFrame.unionByName, made)
+
+
+@query
+def ml_category_splits(spark, sf_dir):
+    """Returned lines by part and quantity: every part is a category, and a split finds the best set of them."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_quantity", (F.col("l_returnflag") == "R").cast("int").alias("returned")
+    )
+    model = boosting.train(rows, ["l_partkey", "l_quantity"], "returned", ["l_partkey"], trees=2, leaves=4)
+    return node_rows(model, spark)
+
+
 @query
 def ml_shap_checks(spark, sf_dir):
     """Of each match under the default model: its roles, whether their shares add up to 100, and

@@ -110,6 +110,108 @@ FROM rated GROUP BY matchid"""
 
 SIGNS = ["TOP_KILLS_DIF", "JUNGLE_DRAGON_DIF", "MID_KILLS_DIF", "BOTTOM_GOLD_RATE_DIF"]
 
+
+
+def leafwise_sql(rows: str, names: list[str], categorical: set[str], trees: int, leaves: int, tag: str = "") -> list[str]:
+    """CTEs of boosted trees that split one leaf after the other; the last is ``nodes{tag}``.
+
+    ``rows``: SQL of ``y`` and ``x``, the features as a list of strings. Every step sums the gradients of all
+    leaves anew. A number's order is its value, a category's the ratio of its sums.
+    """
+    listed = "[" + ", ".join(f"'{n}'" for n in names) + "]"
+    is_category = " OR ".join(f"f = {names.index(n) + 1}" for n in sorted(categorical)) or "false"
+    made = [
+        f"""base{tag} AS MATERIALIZED (SELECT row_number() OVER () AS id, y, x FROM ({rows}) WHERE y IS NOT NULL)""",
+        f"""m{tag}_0 AS MATERIALIZED (
+  SELECT id, y, x, ln(p / (1 - p)) AS m FROM base{tag}, (SELECT sum(y) / count(*)::DOUBLE AS p FROM base{tag})
+)""",
+    ]
+    out = []
+    for t in range(trees):
+        k = f"{tag}_{t}"
+        made.append(
+            f"""s{k}_0 AS MATERIALIZED (
+  SELECT id, y, x, m, 0 AS node, round((p - y) * 1048576)::BIGINT AS g, round(p * (1 - p) * 1048576)::BIGINT AS h
+  FROM (SELECT *, 1 / (1 + exp(-m)) AS p FROM m{k})
+)"""
+        )
+        for i in range(leaves - 1):
+            at, then = f"{k}_{i}", f"{k}_{i + 1}"
+            made.append(
+                f"""h{at} AS MATERIALIZED (
+  SELECT *, CASE WHEN {is_category} THEN (g / 1048576.0::DOUBLE) / (h / 1048576.0::DOUBLE + 10) ELSE v::DOUBLE END AS ord FROM (
+    SELECT node, f, x[f] AS v, sum(g)::BIGINT AS g, sum(h)::BIGINT AS h, count(*) AS n
+    FROM s{at}, generate_series(1, {len(names)}) AS t(f) GROUP BY ALL)
+), c{at} AS (
+  SELECT node, f, v, ord, sum(g) OVER w / 1048576.0::DOUBLE AS gl, sum(h) OVER w / 1048576.0::DOUBLE AS hl, sum(n) OVER w AS nl,
+    sum(g) OVER a / 1048576.0::DOUBLE AS gt, sum(h) OVER a / 1048576.0::DOUBLE AS ht, sum(n) OVER a AS nt,
+    (sum(g) OVER a - sum(g) OVER w) / 1048576.0::DOUBLE AS gr, (sum(h) OVER a - sum(h) OVER w) / 1048576.0::DOUBLE AS hr,
+    CASE WHEN {is_category} THEN 10 ELSE 0 END AS l2
+  FROM h{at} WINDOW w AS (PARTITION BY node, f ORDER BY ord, v), a AS (PARTITION BY node, f)
+), b{at} AS MATERIALIZED (
+  SELECT *, gl * gl / (hl + l2) + gr * gr / (hr + l2) - gt * gt / (ht + l2) AS gain FROM c{at}
+  WHERE nl >= 20 AND nt - nl >= 20 AND hl >= 1e-3 AND hr >= 1e-3
+), p{at} AS MATERIALIZED (
+  SELECT * FROM b{at} WHERE gain > 0 ORDER BY gain DESC, node, f, ord, v LIMIT 1
+), l{at} AS MATERIALIZED (
+  SELECT h.v FROM h{at} h JOIN p{at} p ON h.node = p.node AND h.f = p.f WHERE (h.ord, h.v) <= (p.ord, p.v)
+), s{then} AS MATERIALIZED (
+  SELECT id, y, x, m, CASE WHEN s.node = p.node THEN CASE WHEN x[p.f] IN (SELECT v FROM l{at}) THEN {2 * i + 1} ELSE {2 * i + 2} END
+    ELSE s.node END AS node, g, h FROM s{at} s LEFT JOIN p{at} p ON true
+)"""
+            )
+            out.append(
+                f"""SELECT {t} AS tree, node, {listed}[f] AS feature, CASE WHEN NOT ({is_category}) THEN ord END AS threshold,
+  CASE WHEN {is_category} THEN (SELECT string_agg(v, ',' ORDER BY v) FROM l{at}) END AS categories, round(gain, 6) AS gain, NULL::DOUBLE AS value,
+  nt::BIGINT AS rows, {2 * i + 1} AS "left", {2 * i + 2} AS "right" FROM p{at}"""
+            )
+        last = f"s{k}_{leaves - 1}"
+        made.append(
+            f"""v{k} AS MATERIALIZED (
+  SELECT node, -(sum(g) / 1048576.0::DOUBLE) / (sum(h) / 1048576.0::DOUBLE) * 0.1::DOUBLE AS value, count(*) AS n FROM {last} GROUP BY node
+), m{tag}_{t + 1} AS MATERIALIZED (
+  SELECT id, y, x, m + value AS m FROM {last} s JOIN v{k} v ON s.node = v.node
+)"""
+        )
+        out.append(
+            f"""SELECT {t}, node, NULL, NULL, NULL, NULL, round(value, 9), n, NULL, NULL FROM v{k}"""
+        )
+    return [*made, f"nodes{tag} AS (" + "\nUNION ALL ".join(out) + ")"]
+
+
+NODES = """tree::INTEGER AS tree, node::INTEGER AS node, feature, threshold, categories, gain, value, "rows"::BIGINT AS "rows",
+  "left"::INTEGER AS "left", "right"::INTEGER AS "right\""""
+
+# Small whole numbers of a player, by feature name.
+WHOLE = {"SOLOKILLS": "solo", "PLATES": "plates", "DRAGON": "dragon", "BARONKILLS": "baron", "RIFTHERALD": "herald"}
+POSITION_PREFIXES = {"TOP": "TOP", "JUNGLE": "JUNGLE", "MIDDLE": "MID", "BOTTOM": "BOTTOM", "UTILITY": "SUP"}
+DIFFERENCE_NAMES = [f"{p}_{n}_DIF" for p in POSITION_PREFIXES.values() for n in WHOLE]
+MATCH_DIFFERENCES = "SELECT max(won::INTEGER) FILTER (WHERE team = 100) AS y, [" + ", ".join(
+    f"coalesce(sum(CASE WHEN team = 100 THEN {c} ELSE -{c} END) FILTER (WHERE position = '{p}'), 0)::BIGINT::VARCHAR"
+    for p in POSITION_PREFIXES
+    for c in WHOLE.values()
+) + "] AS x FROM players GROUP BY matchid"
+PLAYER_VALUES = "[" + ", ".join(f"{c}::VARCHAR" for c in WHOLE.values()) + "]"
+
+LEAFWISE_TREES = ",\n".join([SLOTS, *leafwise_sql(MATCH_DIFFERENCES, DIFFERENCE_NAMES, set(), 2, 6)])
+LEAFWISE_POSITIONS = ",\n".join(
+    [SLOTS, *leafwise_sql(f"SELECT won::INTEGER AS y, list_append({PLAYER_VALUES}, position) AS x FROM players", [*WHOLE, "TEAMPOSITION"], {"TEAMPOSITION"}, 2, 6)]
+)
+LEAFWISE_PER_POSITION = ",\n".join(
+    [SLOTS]
+    + [
+        cte
+        for p in POSITION_PREFIXES
+        for cte in leafwise_sql(f"SELECT won::INTEGER AS y, {PLAYER_VALUES} AS x FROM players WHERE position = '{p}'", [*WHOLE], set(), 1, 4, f"_{p}")
+    ]
+)
+CATEGORY_SPLITS = ",\n".join(
+    leafwise_sql(
+        "SELECT (l_returnflag = 'R')::INTEGER AS y, [l_partkey::VARCHAR, l_quantity::BIGINT::VARCHAR] AS x FROM lineitem",
+        ["l_partkey", "l_quantity"], {"l_partkey"}, 2, 4,
+    )
+)
+
 EVENTS = """
 e AS (
   SELECT event_id, user_id, event_type, ts, ts::DATE AS day, epoch_us(ts) // 1000 AS ms,
@@ -407,6 +509,11 @@ best AS (
 )
 SELECT "DS", "MATCHID", (s > 0)::INTEGER::DOUBLE AS prediction
 FROM x JOIN best ON true JOIN leaves ON leaves.i = best.i AND leaves.bit = x.bits[best.i]""",
+    "ml_leafwise_trees": f"WITH {LEAFWISE_TREES}\nSELECT {NODES} FROM nodes",
+    "ml_leafwise_positions": f"WITH {LEAFWISE_POSITIONS}\nSELECT {NODES} FROM nodes",
+    "ml_leafwise_per_position": f"WITH {LEAFWISE_PER_POSITION}\n"
+    + "\nUNION ALL ".join(f"SELECT '{p}' AS \"TEAMPOSITION\", {NODES} FROM nodes_{p}" for p in POSITION_PREFIXES),
+    "ml_category_splits": f"WITH {CATEGORY_SPLITS}\nSELECT {NODES} FROM nodes",
     "ml_shap_checks": f"""WITH f AS ({MATCH_FEATURES})
 SELECT "DS", "MATCHID", 5::BIGINT AS roles, true AS shares_add_up, true AS margin_adds_up FROM f""",
     "stream_gold": f"""WITH {MESSAGES}

@@ -171,3 +171,44 @@ def test_top_features_of_a_model_per_position(players):
 def test_no_features_no_model(spark):
     with pytest.raises(ValueError):
         win_model.train_win_model(spark.createDataFrame([(1,)], "BLUE_TEAM_WIN int"))
+
+
+def test_long_paths_sum_to_the_margin(spark):
+    """A path of 20 features: no table of 2^20 outcomes, and the values still add up."""
+    width = 20
+    tests = [explain.Split(i, threshold=0.5) for i in range(width)]
+    shares = [0.3 + 0.02 * i for i in range(width)]
+    way, leaves = (), []
+    for i, test in enumerate(tests):
+        leaves.append(explain.Leaf(float(i - 7), (*way, (test, False, 1 - shares[i]))))
+        way = (*way, (test, True, shares[i]))
+    leaves.append(explain.Leaf(50.0, way))
+    data = [(n, *[float((n >> i) % 3 == 0) for i in range(width)]) for n in range(3000)]
+    names = [f"x{i}" for i in range(width)]
+    given = spark.createDataFrame(data, ["id", *names])
+    got = {r["id"]: r for r in explain.shap_values(given, names, leaves, ["id"]).collect()}
+    for n, *point in data:
+        passed = [x <= 0.5 for x in point]
+        first = passed.index(False) if False in passed else width
+        assert sum(got[n]["phi"]) + got[n]["base"] == pytest.approx(leaves[first].value, abs=1e-9)
+
+
+def test_path_values_equal_subsets():
+    """The polynomial against the sum over all subsets, a share of 0 among them."""
+    from itertools import combinations
+    from math import factorial
+
+    z = np.array([0.5, 0.0, 0.3, 0.8, 1.0])
+    d = len(z)
+    outcomes = explain.all_outcomes(d)
+    got = explain.path_values(3.0, z, outcomes)
+    for row, o in zip(got, outcomes):
+        for i in range(d):
+            others = [j for j in range(d) if j != i]
+            expected = 0.0
+            for size in range(d):
+                for inside in combinations(others, size):
+                    outside = [j for j in others if j not in inside]
+                    weight = factorial(size) * factorial(d - size - 1) / factorial(d)
+                    expected += weight * 3.0 * (o[i] - z[i]) * np.prod(o[list(inside)]) * np.prod(z[outside])
+            assert row[i] == pytest.approx(expected, abs=1e-12)
