@@ -69,7 +69,7 @@ def section_captures(pages: DataFrame) -> DataFrame:
     """
     section = F.regexp_replace(url_filter.canonical(F.col("url")), r"(?s)/[0-9]+.*$", "")
     tag = F.concat(F.lit('"'), F.md5(F.concat(section, F.lit(":"), (F.octet_length("html") % 3).cast("string"))), F.lit('"'))
-    again = F.col("url").rlike("[?#]")
+    again = F.coalesce(F.col("url").rlike("[?#]"), F.lit(False))
     date = F.col("page_id").cast("string")
     return pages.select(
         F.col("page_id").alias("id"),
@@ -85,7 +85,7 @@ def section_captures(pages: DataFrame) -> DataFrame:
 
 
 def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = revisits.resolve(section_captures(table(spark, sf_dir, "pages").where("page_id is not null")))
+    found = revisits.resolve(section_captures(table(spark, sf_dir, "pages")))
     lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
     return found.select(
         F.col("id").alias("page_id"), "kind", "response_id", "verdict",
@@ -114,8 +114,10 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raking.mixed(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_tokens", "topic", F.round("probability", 6).alias("probability"), "sampled"
+    found = raking.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return found.select(
+        "doc_id", "n_tokens", "topic", F.round("probability", 6).alias("probability"), "sampled",
+        F.round("marginal_error", 6).alias("marginal_error"),
     )
 
 

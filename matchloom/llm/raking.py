@@ -27,8 +27,9 @@ DIMENSIONS = ("source", "lang", "topic")
 TEMPERATURE = {"source": 0.5, "lang": 0.7, "topic": 0.5}
 #: Part of all tokens to keep.
 BUDGET = 0.5
-#: Rounds end when no marginal is off by more than this part, or after so many.
-TOLERANCE, ROUNDS = 1e-10, 200
+#: Rounds end when no marginal is off by more than this part, or after so many. A round of Spark jobs
+#: costs seconds and not microseconds, so these get fewer.
+TOLERANCE, ROUNDS, JOB_ROUNDS = 1e-10, 10_000, 500
 #: Most cells that the driver rakes.
 LOCAL_CELLS = 200_000
 
@@ -62,8 +63,9 @@ def targets(tokens: Mapping[str, float], power: float) -> dict[str, float]:
     return {value: n / total for value, n in raised.items()}
 
 
-def rake_here(cells: list[tuple], wanted: list[dict[str, float]]) -> np.ndarray:
-    """Raked weights, summing to 1, of (tokens, value, value, ...) rows."""
+def rake_here(cells: list[tuple], wanted: list[dict[str, float]]) -> tuple[np.ndarray, float]:
+    """Raked weights, summing to 1, of (tokens, value, value, ...) rows, and by which part a marginal was
+    off at most when the last round came to it."""
     weights = np.array([c[0] for c in cells], float)
     sides = []
     for i, want in enumerate(wanted):
@@ -71,6 +73,7 @@ def rake_here(cells: list[tuple], wanted: list[dict[str, float]]) -> np.ndarray:
         place = {v: k for k, v in enumerate(values)}
         sides.append((np.array([place[c[i + 1]] for c in cells]), np.array([want[v] for v in values])))
     weights /= weights.sum()
+    off = 0.0
     for _ in range(ROUNDS):
         off = 0.0
         for at, want in sides:
@@ -79,7 +82,7 @@ def rake_here(cells: list[tuple], wanted: list[dict[str, float]]) -> np.ndarray:
             weights = weights * (want / now)[at]
         if off <= TOLERANCE:
             break
-    return weights
+    return weights, off
 
 
 def probabilities_here(tokens: np.ndarray, weights: np.ndarray, budget: float) -> np.ndarray:
@@ -93,21 +96,19 @@ def probabilities_here(tokens: np.ndarray, weights: np.ndarray, budget: float) -
     return np.minimum(1.0, s * weights / tokens)
 
 
-def rake_jobs(cells: DataFrame, wanted: dict[str, DataFrame], budget: float) -> DataFrame:
-    """The same for cells of any number: adds ``probability`` to the cells."""
+def rake_jobs(cells: DataFrame, wanted: dict[str, DataFrame], budget: float) -> tuple[DataFrame, float]:
+    """The same for cells of any number: adds ``probability`` to the cells; and how much a marginal is off."""
     total = cells.agg(F.sum("tokens")).first()[0]
     now = workspace.stored(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))), "cells")
-    for _ in range(ROUNDS):
-        step = now
+    off = 0.0
+    for _ in range(JOB_ROUNDS):
+        off, step = 0.0, now
         for name, want in wanted.items():
             sums = step.groupBy(name).agg(F.sum("weight").alias("has")).join(want, name)
-            factor = sums.select(name, (F.col("share") / F.col("has")).alias("factor"))
-            step = step.join(factor, name).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+            factors = workspace.stored(sums.select(name, (F.col("share") / F.col("has")).alias("factor")), "factors")
+            off = max(off, factors.agg(F.max(F.abs(1 / F.col("factor") - 1))).first()[0] or 0.0)
+            step = step.join(factors, name).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         now = workspace.stored(step, "raked")
-        off = 0.0
-        for name, want in wanted.items():
-            gap = now.groupBy(name).agg(F.sum("weight").alias("has")).join(want, name)
-            off = max(off, gap.agg(F.max(F.abs(F.col("has") / F.col("share") - 1))).first()[0] or 0.0)
         if off <= TOLERANCE:
             break
 
@@ -121,7 +122,7 @@ def rake_jobs(cells: DataFrame, wanted: dict[str, DataFrame], budget: float) ->
         middle = (low + high) / 2
         low, high = (middle, high) if kept(middle) < budget else (low, middle)
     chance = F.least(F.lit(1.0), F.col("weight") * high / F.col("tokens"))
-    return now.withColumn("probability", chance)
+    return now.withColumn("probability", chance), off
 
 
 def mixed(
@@ -133,7 +134,10 @@ def mixed(
     shares: Mapping[str, Mapping[str, float]] | None = None,
     budget: float = BUDGET,
 ) -> DataFrame:
-    """All columns of ``docs`` and ``n_tokens``, ``topic``, ``probability``, ``sampled``.
+    """All columns of ``docs`` and ``n_tokens``, ``topic``, ``probability``, ``marginal_error``, ``sampled``.
+
+    ``marginal_error`` is one number for all rows: the largest part by which the last round found a
+    marginal off its target; 0 without tokens.
 
     ``shares`` gives target shares of a dimension by value; dimensions without use ``TEMPERATURE`` on
     the counted tokens. Values with tokens but without a share in a given target have share 0. Null is a
@@ -168,15 +172,17 @@ def mixed(
     if counted <= LOCAL_CELLS:
         found = sorted((tuple(r) for r in listed.select("tokens", *names).collect()), key=lambda r: r[1:])
         want = [dict(sorted(tuple(r) for r in wanted[name].join(listed, name, "left_semi").collect())) for name in names]
-        chance = np.empty(0)
+        chance, off = np.empty(0), 0.0
         if found:
             want = [{v: s / math.fsum(w.values()) for v, s in w.items()} for w in want]
-            chance = probabilities_here(np.array([c[0] for c in found], float), rake_here(found, want), budget * most)
+            weights, off = rake_here(found, want)
+            chance = probabilities_here(np.array([c[0] for c in found], float), weights, budget * most)
         schema = ", ".join(f"`{name}` string" for name in names) + ", probability double"
         local = [(*c[1:], float(p)) for c, p in zip(found, chance)]
         odds = F.broadcast(docs.sparkSession.createDataFrame(local, schema))  # at most LOCAL_CELLS rows
     else:
-        odds = rake_jobs(listed, wanted, budget * most).select(*names, "probability")
+        raked, off = rake_jobs(listed, wanted, budget * most)
+        odds = raked.select(*names, "probability")
     p = free_name(docs, "probability")
     odds = odds.withColumnRenamed("probability", p)
     out = rows.join(odds, names, "left").withColumn(
@@ -187,5 +193,5 @@ def mixed(
     return out.select(
         *[F.col(c) for c in docs.columns], n,
         *[v.alias(free_name(docs, "topic")) for v in values],
-        p, (drawn < F.col(p)).alias(free_name(docs, "sampled")),
+        p, F.lit(off).alias(free_name(docs, "marginal_error")), (drawn < F.col(p)).alias(free_name(docs, "sampled")),
     )

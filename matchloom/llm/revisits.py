@@ -24,8 +24,9 @@ PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expire
 def as_of(captures: DataFrame) -> DataFrame:
     """``id, response_id`` for each revisit: the latest earlier response of its URL, or null.
 
-    ``captures``: ``id, canon, time, full``. Only strictly earlier responses count; of responses at one
-    time the greatest id counts. A null URL or time has no response.
+    ``captures``: ``id, canon, time, full``, the id of any type with an order, unique and not null. Only
+    strictly earlier responses count; of responses at one time the greatest id counts. A null URL or
+    time has no response.
     """
     rows = captures.select("id", "canon", "time", "full").where("canon is not null and time is not null")
     # At one time revisits come before responses, which therefore are not earlier.
@@ -71,28 +72,40 @@ def validated(mine: dict[str, Column], theirs: dict[str, Column]) -> Column:
 def resolve(captures: DataFrame) -> DataFrame:
     """One row per capture: ``id, kind, response_id, verdict, headers, body``.
 
-    ``captures``: ``id`` (unique), ``canon``, ``time``, ``kind`` (``response`` or ``revisit``), ``digest``,
-    ``headers`` (map with lower-case names) and ``body``; other columns are not read. A response is its
-    own, verdict ``full``. A revisit is ``resolved`` and takes the body and the merged headers,
-    ``mismatch`` where no validator agrees, or ``orphan`` without an earlier response; the last two keep
-    their own headers and body. Captures of another kind, null too, are ``ignored``. Null headers are
-    none. Rows without an id can't be told apart and are left out.
+    ``captures``: ``id``, ``canon``, ``time``, ``kind`` (``response`` or ``revisit``), ``digest``, ``headers`` (map
+    with lower-case names) and ``body``; other columns are not read. A response is its own, verdict ``full``.
+    A revisit is ``resolved`` and takes the body and the merged headers, ``mismatch`` where no validator
+    agrees, or ``orphan`` without an earlier response; the last two keep their own headers and body.
+    Captures of another kind, null too, are ``ignored``. Null headers are none.
+
+    Captures are told apart by their place in the input, which must be a table: a repeated row is a
+    capture of its own, and a null id is an id. Of responses with one URL, time and id the later in the
+    input counts.
     """
-    rows = captures.where("id is not null").select(
+    rows = captures.select(
         "id", "canon", "time", "kind", "digest", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), "body"
+    ).withColumn("row", F.monotonically_increasing_id())
+    narrow = rows.where("kind in ('response', 'revisit')").select(
+        F.struct("id", "row").alias("id"), "canon", "time", (F.col("kind") == "response").alias("full")
+    )
+    found = as_of(narrow).where("response_id is not null").select(
+        F.col("id.row").alias("row"), F.col("response_id.id").alias("response_id"), F.col("response_id.row").alias("response_row")
     )
-    narrow = rows.where("kind in ('response', 'revisit')").select("id", "canon", "time", (F.col("kind") == "response").alias("full"))
-    found = as_of(narrow).where("response_id is not null")
     theirs = rows.where("kind = 'response'").select(
-        F.col("id").alias("response_id"), F.col("digest").alias("their_digest"),
+        F.col("row").alias("response_row"), F.col("digest").alias("their_digest"),
         F.col("headers").alias("their_headers"), F.col("body").alias("their_body"),
     )
-    joined = rows.where("kind = 'revisit'").join(found, "id", "left").join(theirs, "response_id", "left")
+    seen = rows.where("kind = 'revisit'").join(found, "row", "left")
+    # An orphan gets a number of its own that no response has; a null would send all orphans to one task.
+    placed = seen.withColumn("orphan", F.col("response_row").isNull()).withColumn(
+        "response_row", F.coalesce("response_row", -1 - F.col("row"))
+    )
+    joined = placed.join(theirs, "response_row", "left")
     agrees = validated(
         {"etag": F.col("headers")["etag"], "last_modified": F.col("headers")["last-modified"], "digest": F.col("digest")},
         {"etag": F.col("their_headers")["etag"], "last_modified": F.col("their_headers")["last-modified"], "digest": F.col("their_digest")},
     )
-    verdict = F.when(F.col("response_id").isNull(), "orphan").when(agrees, "resolved").otherwise("mismatch")
+    verdict = F.when(F.col("orphan"), "orphan").when(agrees, "resolved").otherwise("mismatch")
     updates = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("their_headers", lambda k, v: ~F.array_contains(F.map_keys(updates), k)), updates)
     revisited = joined.withColumn("verdict", verdict).select(

@@ -174,25 +174,26 @@ FROM (
 """
 
 REVISITS = rf"""
-WITH p AS ({CANONICAL}), c AS (
-  SELECT page_id, html, regexp_replace(canon, '(?s)/[0-9]+.*$', '') AS section, regexp_matches(url, '[?#]') AS again,
+WITH p AS (SELECT *, row_number() OVER () AS rid FROM ({CANONICAL})), c AS (
+  SELECT rid, page_id, html, regexp_replace(canon, '(?s)/[0-9]+.*$', '') AS section, coalesce(regexp_matches(url, '[?#]'), false) AS again,
     octet_length(encode(html)) % 3 AS version FROM p
 ), t AS (
   SELECT *, '"' || md5(section || ':' || version) || '"' AS tag FROM c
 ), s AS (
-  SELECT *, CASE WHEN again AND section IS NOT NULL THEN last_value(CASE WHEN NOT again THEN page_id END IGNORE NULLS) OVER (
-    PARTITION BY section ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS response_id FROM t
+  SELECT *, CASE WHEN again AND section IS NOT NULL AND page_id IS NOT NULL THEN
+      last_value(CASE WHEN NOT again AND page_id IS NOT NULL THEN rid END IGNORE NULLS) OVER (
+        PARTITION BY section ORDER BY page_id NULLS FIRST, NOT again, rid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS response FROM t
 ), j AS (
-  SELECT s.page_id, s.again, s.response_id, s.page_id AS date, s.tag, s.html, r.tag AS rtag, r.html AS rhtml,
-    CASE WHEN NOT s.again THEN 'full' WHEN s.response_id IS NULL THEN 'orphan'
+  SELECT s.page_id, s.again, r.page_id AS response_id, 'date: ' || s.page_id AS date, s.tag, s.html, r.html AS rhtml,
+    CASE WHEN NOT s.again THEN 'full' WHEN s.response IS NULL THEN 'orphan'
       WHEN s.tag = r.tag THEN 'resolved' ELSE 'mismatch' END AS verdict
-  FROM s LEFT JOIN t r ON r.page_id = s.response_id
+  FROM s LEFT JOIN t r ON r.rid = s.response
 )
 SELECT page_id, CASE WHEN again THEN 'revisit' ELSE 'response' END AS kind,
   CASE WHEN again THEN response_id ELSE page_id END AS response_id, verdict,
-  CASE verdict WHEN 'full' THEN 'content-type: text/html' || chr(10) || 'date: ' || date || chr(10) || 'etag: ' || tag
-    WHEN 'resolved' THEN 'content-type: text/html' || chr(10) || 'date: ' || date || chr(10) || 'etag: W/' || tag
-    ELSE 'content-length: 0' || chr(10) || 'date: ' || date || chr(10) || 'etag: W/' || tag END AS headers,
+  CASE verdict WHEN 'full' THEN concat_ws(chr(10), 'content-type: text/html', date, 'etag: ' || tag)
+    WHEN 'resolved' THEN concat_ws(chr(10), 'content-type: text/html', date, 'etag: W/' || tag)
+    ELSE concat_ws(chr(10), 'content-length: 0', date, 'etag: W/' || tag) END AS headers,
   CASE verdict WHEN 'full' THEN octet_length(encode(html)) WHEN 'resolved' THEN octet_length(encode(rhtml)) END::BIGINT AS body_bytes
 FROM j
 """
@@ -219,13 +220,16 @@ WITH RECURSIVE d AS (
   SELECT source, lang, topic, t, t / sum(t) OVER () AS w, sw.share AS s, lw.share AS l, tw.share AS o
   FROM cells JOIN sw USING (source) JOIN lw USING (lang) JOIN tw USING (topic)
 ), r AS (
-  SELECT 0 AS k, * FROM start
+  SELECT 0 AS k, *, 1e300::DOUBLE AS off FROM start
   UNION ALL
-  SELECT k + 1, source, lang, topic, t, w * o / sum(w) OVER (PARTITION BY topic), s, l, o FROM (
-    SELECT k, source, lang, topic, t, w * l / sum(w) OVER (PARTITION BY lang) AS w, s, l, o FROM (
-      SELECT k, source, lang, topic, t, w * s / sum(w) OVER (PARTITION BY source) AS w, s, l, o FROM r WHERE k < 100))
+  SELECT k + 1, source, lang, topic, t, w * o / has, s, l, o, max(greatest(off, abs(has / o - 1))) OVER () FROM (
+    SELECT k, source, lang, topic, t, w, s, l, o, off, sum(w) OVER (PARTITION BY topic) AS has FROM (
+      SELECT k, source, lang, topic, t, w * l / has AS w, s, l, o, greatest(off, abs(has / l - 1)) AS off FROM (
+        SELECT k, source, lang, topic, t, w, s, l, o, off, sum(w) OVER (PARTITION BY lang) AS has FROM (
+          SELECT k, source, lang, topic, t, w * s / has AS w, s, l, o, abs(has / s - 1) AS off FROM (
+            SELECT *, sum(w) OVER (PARTITION BY source) AS has FROM r WHERE k < 10000 AND off > 1e-10)))))
 ), f AS (
-  SELECT *, row_number() OVER (ORDER BY t / w, source, lang, topic) AS place FROM r WHERE k = 100
+  SELECT *, row_number() OVER (ORDER BY t / w, source, lang, topic) AS place FROM r WHERE k = (SELECT max(k) FROM r)
 ), g AS (
   SELECT *, (0.5 * sum(t) OVER () - coalesce(sum(t) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(w) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale FROM f
@@ -236,7 +240,8 @@ WITH RECURSIVE d AS (
 )
 SELECT doc_id, n::BIGINT AS n_tokens, topic, round(CASE WHEN n = 0 THEN 1.0 ELSE probability END, 6) AS probability,
   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0
-    < CASE WHEN n = 0 THEN 1.0 ELSE probability END AS sampled
+    < CASE WHEN n = 0 THEN 1.0 ELSE probability END AS sampled,
+  round(coalesce((SELECT max(off) FROM f), 0.0), 6) AS marginal_error
 FROM m LEFT JOIN p USING (source, lang, topic)
 """
 

@@ -91,11 +91,11 @@ def test_revisits_take_the_latest_earlier_response(spark):
         (None, "u", 1, "response", "d0", tag, "no id"),
     ]
     got = {r["id"]: r for r in revisits.resolve(captures(spark, data)).collect()}
-    assert len(got) == 14
+    assert len(got) == 15 and (got.pop(None)["verdict"]) == "full"
     seen = {k: (r["response_id"], r["verdict"]) for k, r in got.items()}
     assert seen == {
         1: (1, "full"), 2: (2, "full"), 13: (13, "full"), 3: (1, "resolved"), 4: (1, "mismatch"), 5: (13, "mismatch"),
-        6: (13, "mismatch"), 7: (None, "orphan"), 8: (None, "orphan"), 9: (None, "orphan"), 10: (None, "orphan"),
+        6: (13, "mismatch"), 7: (None, "resolved"), 8: (None, "orphan"), 9: (None, "orphan"), 10: (None, "orphan"),
         11: (None, "ignored"), 12: (None, "ignored"), 14: (13, "resolved"),
     }
     assert got[3]["body"] == "one" and got[14]["body"] == "later id" and got[10]["body"] == ""
@@ -104,6 +104,21 @@ def test_revisits_take_the_latest_earlier_response(spark):
     assert revisits.resolve(captures(spark, [])).count() == 0
 
 
+def test_repeated_and_nameless_captures_are_rows_of_their_own(spark):
+    data = [
+        (1, "u", 10, "response", "d1", {}, "one"), (2, "u", 20, "revisit", "d1", {}, None), (None, "u", 15, "response", "d2", {}, "no id"),
+        (None, "u", 20, "revisit", "d2", {}, None), (3, "v", 20, "revisit", "d1", {}, "own"),
+    ]
+    got = revisits.resolve(captures(spark, data * 3).coalesce(1)).collect()
+    assert len(got) == 15
+    seen = sorted(((r["id"], r["kind"], r["response_id"], r["verdict"], r["body"]) for r in got), key=repr)
+    expected = [
+        (1, "response", 1, "full", "one"), (2, "revisit", None, "mismatch", None), (None, "response", None, "full", "no id"),
+        (None, "revisit", None, "resolved", "no id"), (3, "revisit", None, "orphan", "own"),
+    ]
+    assert seen == sorted(expected * 3, key=repr)
+
+
 def test_as_of_equals_brute_force_with_a_hot_url(spark):
     draw = random.Random(1)
     data = [(i, "hot" if i % 3 == 0 else f"u{draw.randint(0, 40)}", draw.randint(0, 300), draw.random() < 0.05) for i in range(3000)]
@@ -136,7 +151,7 @@ def test_expected_tokens_meet_budget_and_marginals(spark, monkeypatch, local):
     monkeypatch.setattr(raking, "TOLERANCE", 1e-6)
     docs = mixing_docs(spark)
     made = raking.mixed(docs, budget=0.2).toPandas()
-    assert list(made.columns) == [*docs.columns, "n_tokens", "topic_", "probability", "sampled"]
+    assert list(made.columns) == [*docs.columns, "n_tokens", "topic_", "probability", "marginal_error", "sampled"]
     assert len(made) == docs.count()
     expected = (made.n_tokens * made.probability).sum()
     assert expected == pytest.approx(0.2 * made.n_tokens.sum(), rel=1e-6)
@@ -156,6 +171,30 @@ def test_both_ways_of_raking_agree(spark, monkeypatch):
     assert rows(raking.mixed(docs).select("doc_id", F.round("probability", 6), "sampled")) == rows(here)
 
 
+def test_targets_that_cannot_be_met_are_told(spark, monkeypatch):
+    """Each source has a language of its own, so the two targets contradict each other."""
+    data = [(i, "w " * 50, "s1" if i % 4 else "s2", "en" if i % 4 else "de", "t") for i in range(40)]
+    docs = spark.createDataFrame(data, DOCS)
+    shares = {"source": {"s1": 0.5, "s2": 0.5}, "lang": {"en": 0.9, "de": 0.1}}
+    monkeypatch.setattr(raking, "ROUNDS", 300)
+    monkeypatch.setattr(raking, "JOB_ROUNDS", 3)
+    for cells in (10**6, 0):
+        monkeypatch.setattr(raking, "LOCAL_CELLS", cells)
+        (off,) = {r[0] for r in raking.mixed(docs, shares=shares, budget=0.1).select("marginal_error").collect()}
+        assert off > 0.5
+    agreeing = {"source": {"s1": 0.5, "s2": 0.5}, "lang": {"en": 0.5, "de": 0.5}}
+    monkeypatch.setattr(raking, "LOCAL_CELLS", 10**6)
+    made = raking.mixed(docs, shares=agreeing, budget=0.1).toPandas()
+    assert made.marginal_error.max() <= 1e-10
+
+
+def test_slow_targets_go_on_to_the_end():
+    """A table whose raked weights go to 0 in the limit: later rounds still change them, and it is told."""
+    cells = [(10, "a", "x"), (10, "a", "y"), (10, "b", "y")]
+    weights, off = raking.rake_here(cells, [{"a": 0.5, "b": 0.5}, {"x": 0.5, "y": 0.5}])
+    assert 0 < off < 1e-3 and weights[1] < 1e-3
+
+
 def test_given_shares_and_empty_tables(spark):
     docs = mixing_docs(spark, 300)
     made = raking.mixed(docs, shares={"lang": {"en": 1.0}}, budget=0.1).toPandas()

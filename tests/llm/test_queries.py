@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, database, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(re.match(r"op(\d+)_", name).group(1)) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 
