@@ -23,6 +23,12 @@ def role_of(feature: Column) -> Column:
     return chosen
 
 
+def role_of_name(name: str) -> str | None:
+    """The same for a name that is known when the plan is made."""
+    upper = name.upper()
+    return next((role for role, words in domain.ROLE_KEYWORDS if any(w in upper for w in words)), None)
+
+
 def abs_sum(columns: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, [F.abs(c) for c in columns])
 
@@ -76,12 +82,8 @@ def role_basis_points(
 
 def shares_over_all(rows, contributions, keep, name, share, equal, kind) -> DataFrame:
     def part_of(role: str) -> Column:
-        # The role of a literal name is a constant to Catalyst, so only its columns are summed.
-        parts = [
-            F.when(role_of(F.lit(name)) == role, F.abs(value)).otherwise(F.lit(0))
-            for name, value in contributions.items()
-        ]
-        return reduce(lambda a, b: a + b, parts)
+        parts = [F.abs(value) for name, value in contributions.items() if role_of_name(name) == role]
+        return reduce(lambda a, b: a + b, parts, F.lit(0).cast(kind))
 
     summed = rows.select(
         *keep,

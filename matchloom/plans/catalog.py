@@ -17,6 +17,7 @@ from matchloom.operators import (
     explain,
     features,
     flatten,
+    keywords,
     ranking,
     replay,
     roles,
@@ -398,6 +399,18 @@ def role_of_feature(spark, sf_dir):
     )
 
 
+@query
+def role_by_rules(spark, sf_dir):
+    """The same by a table of rules: every word of the benchmark is a keyword, in the order of their hashes."""
+    listed = table(spark, sf_dir, "benchmark").select(F.explode(F.transform(F.split("text", "[^A-Za-z]+"), F.upper)).alias("keyword"))
+    chosen = listed.where("length(keyword) >= 3").distinct()
+    number = F.conv(F.substring(F.md5("keyword"), 1, 8), 16, 10).cast("long")
+    role = F.get(F.array(*[F.lit(r) for r in domain.ROLES]), (number % 5).cast("int"))
+    rules = chosen.select("keyword", number.alias("priority"), role.alias("role"))
+    words = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("feature"))
+    return keywords.with_first_rule(words.where(F.col("feature") != "").distinct(), F.col("feature"), rules, "role")
+
+
 @query
 def role_contribution(spark, sf_dir):
     rows = image.contributions(spark, sf_dir)

@@ -447,6 +447,17 @@ SELECT feature, CASE
     WHEN upper(feature) LIKE '%BOT%' OR upper(feature) LIKE '%ADC%' THEN 'BOT'
     WHEN upper(feature) LIKE '%SUP%' OR upper(feature) LIKE '%UTILITY%' THEN 'SUP' END AS role
 FROM w WHERE feature <> ''""",
+    "role_by_rules": """
+WITH w AS (
+  SELECT DISTINCT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS feature FROM documents
+), k AS (
+  SELECT DISTINCT upper(unnest(regexp_split_to_array(text, '[^A-Za-z]+'))) AS keyword FROM benchmark
+), r AS (
+  SELECT keyword, ('0x' || substr(md5(keyword), 1, 8))::BIGINT AS priority FROM k WHERE length(keyword) >= 3
+), hit AS (
+  SELECT feature, arg_min(priority, (priority, keyword)) AS priority FROM w JOIN r ON contains(upper(feature), keyword) GROUP BY feature
+)
+SELECT w.feature, ['TOP', 'JNG', 'MID', 'BOT', 'SUP'][priority % 5 + 1] AS role FROM w LEFT JOIN hit USING (feature) WHERE feature <> ''""",
     "role_contribution": f"""WITH {WIDE} SELECT * FROM shares""",
     "role_contribution_pct": f"""WITH {WIDE}
 SELECT "DS", "MATCHID", "ROLE",

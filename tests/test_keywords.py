@@ -1,0 +1,54 @@
+"""Ordered keyword rules against a test of every rule."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from matchloom.operators import keywords, roles
+from tests.conftest import rows
+
+
+def brute_force(names, rules):
+    out = []
+    for name in names:
+        found = [r for r in rules if name is not None and r[0] is not None and r[1] is not None and r[0].upper() in name.upper()]
+        best = min(found, key=lambda r: (r[1], r[0].upper(), r[2]), default=None)
+        out.append((name, best[2] if best else None))
+    return sorted(out, key=repr)
+
+
+def corpus(seed, size):
+    draw = random.Random(seed)
+    letters = "abAB" if seed else "abcdé\U00010400xyz"
+    rules = [("".join(draw.choices(letters, k=draw.randint(1, 6))), draw.randint(0, size), f"r{draw.randint(0, 9)}") for _ in range(size)]
+    names = ["".join(draw.choices(letters + "-", k=draw.choice([0, 1, 3, 9, 40]))) for _ in range(300)]
+    return names + [None, "", "a" * 30000], rules + [(None, 0, "x"), ("zz", None, "y")]
+
+
+@pytest.mark.parametrize("seed, size", [(0, 1500), (1, 40), (2, 6)])
+@pytest.mark.parametrize("most", [keywords.TABLE_BYTES, 0])
+def test_equals_every_rule(spark, seed, size, most):
+    names, rules = corpus(seed, size)
+    names = names[:-1] if not most else names  # all substrings of a very long name are made in the join
+    given = spark.createDataFrame([(n, 1, "clash") for n in names], "name string, priority int, keyword string")
+    table = spark.createDataFrame(rules, "keyword string, priority long, role string")
+    made = keywords.with_first_rule(given, F.col("name"), table, "role", most=most)
+    assert made.columns == ["name", "priority", "keyword", "role"]
+    assert rows(made, "name", "role") == brute_force(names, rules)
+
+
+@pytest.mark.parametrize("most", [keywords.TABLE_BYTES, 0])
+def test_empty_keyword_and_no_rules(spark, most):
+    given = spark.createDataFrame([("abc",), ("",), (None,)], "name string")
+    rules = spark.createDataFrame([("", 5, "any"), ("B", 1, "b")], "keyword string, priority long, role string")
+    made = keywords.with_first_rule(given, F.col("name"), rules, "role", most=most)
+    assert rows(made) == sorted([("abc", "b"), ("", "any"), (None, None)], key=repr)
+    none = keywords.with_first_rule(given, F.col("name"), rules.limit(0), "role", most=most)
+    assert {r["role"] for r in none.collect()} == {None}
+
+
+def test_literal_names_follow_the_same_rules(spark):
+    names = ["TOP_X", "stop", "jungle_top", "SUPPORT", "x_adc", "", "midBOT", "none"]
+    given = spark.createDataFrame([(n,) for n in names], "n string")
+    assert rows(given.select("n", roles.role_of(F.col("n")))) == sorted(((n, roles.role_of_name(n)) for n in names), key=repr)
