@@ -13,8 +13,8 @@ from matchloom import domain
 from matchloom.functions.time import within_day
 
 
-def first_players(players: DataFrame, rank: str = "puuid", limit: int | None = None) -> DataFrame:
-    """The first ``limit`` players by an explicit rank; all of them without a limit."""
+def first_players(players: DataFrame, rank: str | Sequence[str] = "puuid", limit: int | None = None) -> DataFrame:
+    """The first ``limit`` players by an explicit rank, such as their place in a list; all of them without a limit."""
     return players if limit is None else players.orderBy(rank).limit(limit)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -30,6 +31,7 @@ from matchloom.plans import image, influence
 from matchloom.plans.image import cents, epoch_millis, match_id, table, zoneless
 from matchloom.sinks import tables as sinks
 from matchloom.sources import documents, tables
+from matchloom.streaming import documents as streamed
 from matchloom.streaming import gold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +104,51 @@ def gold_table(spark, sf_dir):
     return back.withColumn("event_time", zoneless(F.col("event_time")))
 
 
+def write_arrays(values: DataFrame, path: str) -> None:
+    """Documents (``part``, ``value``) as files of several lines: an array of the documents of each part."""
+    listed = values.groupBy("part").agg(F.collect_list("value").alias("values"))  # parts are small
+    text = F.concat(F.lit("[\n  "), F.array_join("values", ",\n  "), F.lit("\n]"))
+    listed.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def part_of(match: Column) -> Column:
+    """256 keys of matches in a row."""
+    return F.floor(F.substring_index(match, "_", -1).cast("long") / 256)
+
+
+@query
+def flatten_multi_line(spark, sf_dir):
+    """Match documents from files of several lines, as they come from the collector."""
+    root = workspace.scratch(spark, "multi-line")
+    matches = image.match_documents(spark, sf_dir)
+    write_arrays(matches.select(part_of(F.col("metadata.matchId")).alias("part"), F.to_json(F.struct(*matches.columns)).alias("value")), f"{root}/in")
+    found = documents.read_matches(spark, f"{root}/in")
+    return flat_challenges(flatten.flatten_players(found, time.utc_date(F.col("info.gameStartTimestamp"))))
+
+
+def written_timelines(spark, sf_dir):
+    """Timelines written as files of several lines and read as the timeline job reads them."""
+    root = workspace.scratch(spark, "timeline-files")
+    made = image.timelines(spark, sf_dir)
+    write_arrays(made.select(part_of(F.col("metadata.matchId")).alias("part"), F.to_json(F.struct(*made.columns)).alias("value")), f"{root}/in")
+    return documents.read_timelines(spark, f"{root}/in")
+
+
+@query
+def gold_timeline_files(spark, sf_dir):
+    rows = timeline.gold_timeline(written_timelines(spark, sf_dir), missing="null")
+    return rows.withColumn("event_time", zoneless(F.col("event_time")))
+
+
+@query
+def replay_files(spark, sf_dir):
+    """Frame messages of timeline files."""
+    events = timeline.gold_events(written_timelines(spark, sf_dir))
+    sent = timeline.messages(events, schemas.GOLD_MESSAGE.names)
+    value = text.to_record(F.col("value").cast("string"), schemas.GOLD_MESSAGE)
+    return sent.select(F.col("key").cast("string").alias("key"), value.alias("m")).select("key", "m.*")
+
+
 @query
 def frame_time(spark, sf_dir):
     """Times relative to the middle of January 2024, so that some are negative."""
@@ -166,6 +213,29 @@ def entity_list(spark, sf_dir):
     return selection.first_players(documents.league_players(lists), "puuid", 10)
 
 
+@query
+def entity_list_in_order(spark, sf_dir):
+    """The first ten players by their place: each hundred customers are a list by balance, best first."""
+    entry = F.struct((-cents(F.col("c_acctbal"))).alias("rank"), F.format_string("P_%09d", "c_custkey").alias("puuid"))
+    customers = table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / 100).alias("list"), entry.alias("entry"))
+    lists = customers.groupBy("list").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    ranked = documents.ranked_players(lists, "list")
+    return selection.first_players(ranked, ["place", "list"], 10)
+
+
+@query
+def recent_match_ids_landed(spark, sf_dir):
+    """The latest five matches per player out of landed lines of JSON."""
+    path = f"{workspace.scratch(spark, 'player-matches')}/in"
+    rows = table(spark, sf_dir, "orders").select(
+        F.format_string("P_%09d", "o_custkey").alias("puuid"),
+        F.call_function("div", epoch_millis(F.col("o_orderdate")), F.lit(1000)).alias("startTs"),
+        match_id(F.col("o_orderkey")).alias("matchId"),
+    )
+    rows.write.json(path)
+    return selection.recent_match_ids(documents.read_player_matches(spark, path), 5)
+
+
 @query
 def recent_match_ids(spark, sf_dir):
     """Suppliers as players: an order is shared by all suppliers of its lines."""
@@ -292,6 +362,20 @@ def land_by_event_date(spark, sf_dir):
     )
 
 
+@query
+def land_timelines(spark, sf_dir):
+    """Whole timelines landed by the date of the run, twice; the last run's count."""
+    root = workspace.scratch(spark, "land-timelines")
+    made = image.timelines(spark, sf_dir)
+    made.select(F.to_json(F.struct(*made.columns)).alias("value")).write.text(f"{root}/in")
+    for _ in range(2):
+        sinks.land_timelines(documents.read_whole(spark, f"{root}/in", multi_line=False), f"{root}/raw", "2024-05-01")
+    landed = documents.read_landed(spark, f"{root}/raw", schemas.TIMELINE)
+    return landed.select(F.col("metadata.matchId").alias("matchId"), "ds", F.size("info.frames").cast("long").alias("frames")).groupBy(
+        "matchId", "ds"
+    ).agg(F.sum("frames").alias("frames"))
+
+
 @query
 def path_ds_load(spark, sf_dir):
     path = workspace.scratch(spark, "staged")
@@ -423,6 +507,23 @@ def role_contribution_pct(spark, sf_dir):
     return roles.role_contribution(rows, contribution_columns())
 
 
+@query
+def role_table(spark, sf_dir):
+    """Contributions in a catalog table: made if missing, every day replaced twice, the last day by a part of it."""
+    name = f"role_contribution_{uuid.uuid4().hex}"
+    location = f"{workspace.scratch(spark, 'role-table')}/table"
+    made = roles.role_contribution(image.contributions(spark, sf_dir), contribution_columns())
+    rows = workspace.stored(made.withColumn("DS", F.to_date("DS")), "role-rows")
+    for _ in range(2):
+        sinks.ensure_role_table(spark, name, location)
+        sinks.replace_table_day(rows, name)
+    last = rows.select(F.max("DS")).scalar()
+    sinks.replace_table_day(rows.where((F.col("DS") == last) & (F.col("ROLE") == "TOP")), name)
+    back = spark.read.schema(schemas.ROLE_CONTRIBUTION).parquet(location)
+    spark.sql(f"DROP TABLE {name}")  # its files stay, for they are not the table's own
+    return back
+
+
 @query
 def role_daily_mean(spark, sf_dir):
     shares = roles.role_basis_points(image.contributions(spark, sf_dir), contribution_columns())
@@ -596,6 +697,33 @@ def stream_ingest_new(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").select("matchId", "participantId", "goldEarned", "ds")
 
 
+@query
+def stream_ingest_whole(spark, sf_dir):
+    """Match documents as files of several lines, in two drops, with a field nobody declared and, in every third
+    match, kills of another type; the third run finds nothing new."""
+    root = workspace.scratch(spark, "ingest-whole")
+    matches = image.match_documents(spark, sf_dir)
+    noted = F.transform(
+        "info.participants", lambda p: p.withField("note", F.concat(F.lit("n"), p["participantId"].cast("string")))
+    )
+    sent = matches.withColumn("info", F.col("info").withField("participants", noted))
+    value = F.to_json(F.struct(*sent.columns))
+    odd = F.substring("metadata.matchId", 3, 20).cast("long") % 3 == 0
+    strange = F.when(odd, F.regexp_replace(value, '"kills":([0-9]+)', '"kills":"k$1"')).otherwise(value)
+    lines = workspace.stored(sent.select(part_of(F.col("metadata.matchId")).alias("part"), strange.alias("value")), "documents")
+    for parity in (0, 1, None):
+        if parity is not None:
+            drop = lines.where(F.col("part") % 2 == parity)
+            write_arrays(drop, f"{root}/drop={parity}")
+        found = streamed.whole_players(streamed.whole_documents(spark, f"{root}/drop=*"))
+        gold.drain(gold.parquet_sink(found, f"{root}/out", f"{root}/checkpoint", (), gold.DRAIN))
+    players = streamed.typed(spark.read.parquet(f"{root}/out"), {"participantId": "long", "kills": "long", "note": "string"})
+    return players.select(
+        "matchId", "gameDuration", "ds", "participantId", "kills", "note",
+        F.try_variant_get("player", "$.kills", "string").alias("kills_as_sent"),
+    )
+
+
 @query
 def stream_gold_window(spark, sf_dir):
     """Frames in match time, in two drops: the odd minutes of all matches, then the even ones."""
@@ -642,7 +770,9 @@ def ml_one_split(spark, sf_dir):
     )
     signs = workspace.stored(signs, "signs")
     model = win_model.train_win_model(signs, maxIter=1, maxDepth=1, minInstancesPerNode=1)
-    return model.transform(signs).select("DS", "MATCHID", "prediction")
+    path = f"{workspace.scratch(spark, 'saved-model')}/model"
+    win_model.save(model, path)
+    return win_model.load(path).transform(signs).select("DS", "MATCHID", "prediction")
 
 
 #: Features of small whole numbers, whose every value is a bin.

@@ -548,3 +548,26 @@ r AS (
 )
 SELECT "matchId", date_trunc('hour', event_time) AS window_start, event_time, "goldDiff" FROM r WHERE n = 1""",
 }
+
+SQL |= {
+    "flatten_multi_line": SQL["flatten_players"],
+    "gold_timeline_files": SQL["gold_timeline_strict"],
+    "replay_files": SQL["replay_messages"],
+    "entity_list_in_order": """
+SELECT c_custkey // 100 AS list,
+  (row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY round(c_acctbal * 100) DESC, c_custkey) - 1)::INTEGER AS place,
+  'P_' || lpad(c_custkey::VARCHAR, 9, '0') AS puuid
+FROM customer ORDER BY place, list LIMIT 10""",
+    "recent_match_ids_landed": """
+SELECT DISTINCT "matchId" FROM (
+  SELECT 'M_' || o_orderkey AS "matchId", row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, 'M_' || o_orderkey) AS n FROM orders
+) WHERE n <= 5""",
+    "land_timelines": f"""WITH {FRAMES}
+SELECT 'M_' || user_id AS "matchId", DATE '2024-05-01' AS ds, count(*) AS frames FROM frames GROUP BY user_id""",
+    "role_table": f"""WITH t AS ({SQL["role_contribution_pct"]})
+SELECT "DS", "MATCHID", "ROLE", "CONTRIB_PCT" FROM t WHERE "DS" < (SELECT max("DS") FROM t) OR "ROLE" = 'TOP'""",
+    "stream_ingest_whole": f"""WITH {SLOTS}
+SELECT matchid AS "matchId", seconds AS "gameDuration", ds, pid::BIGINT AS "participantId",
+  CASE WHEN l_orderkey % 3 <> 0 THEN kills END AS kills, 'n' || pid AS note,
+  CASE WHEN l_orderkey % 3 = 0 THEN 'k' ELSE '' END || kills AS kills_as_sent FROM players""",
+}

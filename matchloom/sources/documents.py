@@ -133,6 +133,11 @@ def league_players(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode("entries").alias("entry")).select("entry.puuid")
 
 
+def ranked_players(documents: DataFrame, *lists: str) -> DataFrame:
+    """Players with their ``place`` in their list, from 0, and the columns that order the lists."""
+    return documents.select(*lists, F.posexplode("entries").alias("place", "entry")).select(*lists, "place", "entry.puuid")
+
+
 def read_player_matches(spark: SparkSession, path: str) -> DataFrame:
     """Landed match ids per player, JSON Lines of ``puuid, startTs, matchId``."""
     return read_json(spark, path, schemas.PLAYER_MATCH, multi_line=False)
