@@ -28,8 +28,9 @@ def recent_match_ids(
 ) -> DataFrame:
     """Distinct ids of each player's latest ``count`` matches, all without one, on one day if given.
 
-    The rank filter runs before the shuffle too, so a task sends at most
-    ``count`` rows per player however many it reads.
+    Ranks are taken twice: within a player's rows of one salt, and then among the survivors. A player
+    with a large part of all rows is so ranked by ``SALTS`` tasks, each of which lets through at most
+    ``count`` rows. The first rank filter runs before the shuffle too.
     """
     if ds is not None:
         player_matches = player_matches.where(
@@ -38,13 +39,25 @@ def recent_match_ids(
     if count is None:
         return player_matches.select(match).distinct()
     listed = player_matches.groupBy(player, match).agg(F.max(start).alias(start))
-    latest = Window.partitionBy(player).orderBy(F.desc(start), F.asc(match))
-    return (
-        listed.withColumn("_rank", F.row_number().over(latest))
-        .where(F.col("_rank") <= count)
-        .select(match)
-        .distinct()
-    )
+    return top_n(listed, [player], [F.desc(start), F.asc(match)], count, F.xxhash64(match)).select(match).distinct()
+
+
+#: Parts that the rows of a key are ranked in first.
+SALTS = 64
+
+
+def top_n(
+    rows: DataFrame, by: Sequence[str], order: Sequence[Column], count: int, spread: Column, salts: int | None = None
+) -> DataFrame:
+    """The first ``count`` rows per key, ranked within salts and then over what is left of them.
+
+    ``spread`` is a whole number that deals a key's rows evenly. No task ranks more than a key's rows by
+    the number of salts, or ``count`` rows of each of them.
+    """
+    salted = rows.withColumn("_salt", F.pmod(spread, F.lit(salts or SALTS)))
+    inner, outer = Window.partitionBy(*by, "_salt").orderBy(*order), Window.partitionBy(*by).orderBy(*order)
+    survivors = salted.withColumn("_rank", F.row_number().over(inner)).where(F.col("_rank") <= count).drop("_rank", "_salt")
+    return survivors.withColumn("_rank", F.row_number().over(outer)).where(F.col("_rank") <= count).drop("_rank")
 
 
 def load_counts(asked: DataFrame, landed: DataFrame, key: str) -> DataFrame:
@@ -131,3 +144,50 @@ def stable_split(
     rerun moves a row. ``bucket`` replaces the hash with another 0..99 column."""
     part = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(100)) if bucket is None else bucket
     return rows.where(part >= test_percent), rows.where(part < test_percent)
+
+
+#: Bits of a hash that one round of ``least_by_hash`` looks at, and rows that it no longer narrows down.
+ROUND_BITS, FEW = 12, 10_000
+
+
+def least_by_hash(rows: DataFrame, number: Column, count: int, bits: int = 63) -> tuple[Column, int]:
+    """A condition for the rows with the ``count`` least numbers, and how many rows meet it.
+
+    ``number`` is a whole number from 0 below ``2 ** bits``. Each round counts the rows by the next bits of it and
+    goes on inside the bin that the ``count``-th row is in, so a round returns 2^12 counts and nothing is
+    sorted. Rows of one number stay together: the condition may hold for more than ``count`` rows then.
+    """
+    low, left, below = 0, bits, 0
+    while left > 0:
+        step = min(ROUND_BITS, left)
+        bin_ = F.shiftright(number - F.lit(low), left - step)
+        inside = rows.where((number >= F.lit(low)) & (number < F.lit(low + (1 << left)) if left < 63 else number >= F.lit(low)))
+        counted = sorted((r[0], r[1]) for r in inside.groupBy(bin_.alias("b")).count().collect())  # at most 2^12 rows
+        for b, n in counted:
+            if below + n >= count:
+                break
+            below += n
+        else:
+            return number >= F.lit(0), below
+        low, left = low + (b << (left - step)), left - step
+    return number <= F.lit(low), below + n
+
+
+def exact_split(
+    rows: DataFrame, keys: Sequence[str], test_percent: int = 20, seed: int = 29, number: Column | None = None, bits: int = 63
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows, the test part exactly the given percent of the rows, rounded up.
+
+    Test rows are those with the least hashes of the keys, found without a sort, so neither partitioning nor a
+    rerun moves a row. Rows of one key are one row to a split, and go to one side: a test part that ends within
+    them has all of them. ``number`` replaces the hash with another whole number below ``2 ** bits``. The rows are read
+    several times.
+    """
+    if number is None:
+        number = F.xxhash64(*keys, F.lit(seed)).bitwiseAND(F.lit((1 << 63) - 1))
+    whole = rows.count()
+    wanted = -(-whole * test_percent // 100)
+    if not wanted:
+        return rows, rows.where(F.lit(False))
+    least, _ = least_by_hash(rows, number, wanted, bits)
+    return rows.where(~least), rows.where(least)

@@ -30,9 +30,10 @@ from matchloom.operators import (
 from matchloom.plans import image, influence
 from matchloom.plans.image import cents, epoch_millis, match_id, table, zoneless
 from matchloom.sinks import tables as sinks
+from matchloom.sinks import versions
 from matchloom.sources import documents, tables
 from matchloom.streaming import documents as streamed
-from matchloom.streaming import gold
+from matchloom.streaming import exact, gold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -341,6 +342,27 @@ def train_test_split(spark, sf_dir):
     )
 
 
+@query
+def exact_train_test_split(spark, sf_dir):
+    """A fifth of the orders, rounded up, by the least of the same hash."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    key = F.col("o_orderkey") + 29
+    number = F.pmod(F.pmod(key, F.lit(2147483647)) * 48271, F.lit(2147483647))
+    train, test = selection.exact_split(orders, ["o_orderkey"], number=number, bits=31)
+    return train.withColumn("fold", F.lit("train")).unionByName(test.withColumn("fold", F.lit("test")))
+
+
+@query
+def recent_of_hot_player(spark, sf_dir):
+    """The latest 5,000 matches of every player, where one player has a third of all matches."""
+    orders = table(spark, sf_dir, "orders")
+    player = F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(F.col("o_custkey"))
+    rows = orders.select(player.alias("player"), "o_orderkey", "o_orderdate")
+    return selection.top_n(
+        rows, ["player"], [F.desc("o_orderdate"), F.asc("o_orderkey")], 5000, F.xxhash64("o_orderkey")
+    ).select("player", "o_orderkey")
+
+
 # --- landing and loading -------------------------------------------------------------
 
 
@@ -398,6 +420,50 @@ def replace_partition(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@query
+def replace_at_one_stroke(spark, sf_dir):
+    """What readers see of a table whose last day is replaced: one that read while the new rows were written,
+    and one after it."""
+    path = workspace.scratch(spark, "versions")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", cents(F.col("value")).alias("amount"), F.to_date("ts").alias("ds")
+    )
+    versions.replace_days(rows, path)
+    last = rows.select(F.max("ds")).scalar()
+    changed = rows.where(F.col("ds") == last).withColumn("amount", F.col("amount") * 2)
+    folders = versions.write_folders(changed, path)
+    between = versions.read_days(spark, path).withColumn("reader", F.lit("between"))
+    versions.point(spark, path, folders, changed.schema)
+    return between.unionByName(versions.read_days(spark, path).withColumn("reader", F.lit("after")))
+
+
+@query
+def changing_schemas(spark, sf_dir):
+    """Days whose events have other fields and types: the kind from day to day, amounts as whole numbers, text and
+    fractions, ids that widen."""
+    path = workspace.scratch(spark, "schemas")
+    events = workspace.stored(
+        table(spark, sf_dir, "events").select(
+            "event_id", "event_type", cents(F.col("value")).alias("cents"), F.to_date("ts").alias("ds")
+        ),
+        "events",
+    )
+    which = F.dayofmonth("ds") % 3
+    shapes = [
+        [F.col("event_id").cast("int").alias("id"), F.col("cents").alias("amount")],
+        [F.col("event_id").alias("id"), F.concat(F.lit("c"), F.col("cents").cast("string")).alias("amount"), F.col("event_type").alias("kind")],
+        [F.col("event_id").cast("int").alias("id"), (F.col("cents") / 2).alias("amount")],
+    ]
+    for i, shape in enumerate(shapes):
+        versions.replace_days(events.where(which == i).select(*shape, "ds"), path)
+    made = versions.read_days(spark, path)
+    return made.select(
+        "id", "kind", "ds",
+        F.try_variant_get("amount", "$", "string").alias("amount_text"),
+        F.try_variant_get("amount", "$", "double").alias("amount_number"),
+    )
+
+
 @query
 def path_ds_load_orders(spark, sf_dir):
     """The same load over all order dates: a folder for each of some 2,400 days."""
@@ -682,6 +748,34 @@ def stream_dedup(spark, sf_dir):
     return back.select("matchId", "frameTimestamp", "goldDiff")
 
 
+def exact_dedup_path(spark, sf_dir) -> str:
+    """Odd minutes twice; a day later all of them again, and even ones that had arrived before; then nothing new."""
+    root = workspace.scratch(spark, "exact")
+    events = image.match_time_events(spark, sf_dir)
+    odd = events.where(F.col("frameMinute") % 2 == 1)
+    arrivals = {0: "2024-05-01 12:00:00", 1: "2024-05-02 12:00:00", 2: "2024-05-03 12:00:00"}
+    for number, drop in enumerate((odd.unionAll(odd), events, events)):
+        send(drop, f"{root}/in")
+        even = F.col("frameMinute") % 2 == 0
+        came = F.when(even, "2024-05-01 11:00:00").otherwise(arrivals[number]).cast("timestamp")
+        rows = gold.gold_rows(gold.file_messages(spark, f"{root}/in")).withColumn("arrival", came)
+        gold.drain(exact.exact_sink(rows, f"{root}/out", f"{root}/checkpoint", fold_every=2, trigger=gold.DRAIN))
+    return f"{root}/out"
+
+
+@query
+def stream_exact_dedup(spark, sf_dir):
+    path = exact_dedup_path(spark, sf_dir)
+    schema = gold.gold_rows(gold.file_messages(spark, f"{path}/../in")).schema
+    return exact.kept(spark, path, schema).select("matchId", "frameTimestamp", "goldDiff", zoneless(F.col("arrival")).alias("arrival"))
+
+
+@query
+def stream_exact_counts(spark, sf_dir):
+    found = exact.counts(spark, exact_dedup_path(spark, sf_dir))
+    return found.select("batch", "came", "kept", "copies", "late")
+
+
 @query
 def stream_ingest_new(spark, sf_dir):
     """Match documents in two drops; the third run finds nothing new."""

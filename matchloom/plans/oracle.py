@@ -570,4 +570,32 @@ SELECT "DS", "MATCHID", "ROLE", "CONTRIB_PCT" FROM t WHERE "DS" < (SELECT max("D
 SELECT matchid AS "matchId", seconds AS "gameDuration", ds, pid::BIGINT AS "participantId",
   CASE WHEN l_orderkey % 3 <> 0 THEN kills END AS kills, 'n' || pid AS note,
   CASE WHEN l_orderkey % 3 = 0 THEN 'k' ELSE '' END || kills AS kills_as_sent FROM players""",
+    "exact_train_test_split": """
+WITH h AS (SELECT o_orderkey, ((o_orderkey + 29) % 2147483647) * 48271 % 2147483647 AS h FROM orders),
+r AS (SELECT o_orderkey, row_number() OVER (ORDER BY h) AS n, count(*) OVER () AS whole FROM h)
+SELECT o_orderkey, CASE WHEN n <= ceil(whole / 5) THEN 'test' ELSE 'train' END AS fold FROM r""",
+    "recent_of_hot_player": """
+WITH p AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS player, o_orderkey, o_orderdate FROM orders)
+SELECT player, o_orderkey FROM p
+QUALIFY row_number() OVER (PARTITION BY player ORDER BY o_orderdate DESC, o_orderkey) <= 5000""",
+    "replace_at_one_stroke": """
+WITH r AS (SELECT event_id, round(value * 100)::BIGINT AS amount, ts::DATE AS ds FROM events)
+SELECT event_id, amount, ds, 'between' AS reader FROM r
+UNION ALL SELECT event_id, CASE WHEN ds = (SELECT max(ds) FROM r) THEN 2 * amount ELSE amount END, ds, 'after' FROM r""",
+    "changing_schemas": """
+WITH r AS (SELECT event_id, event_type, round(value * 100)::BIGINT AS cents, ts::DATE AS ds, day(ts) % 3 AS shape FROM events)
+SELECT event_id AS id, CASE WHEN shape = 1 THEN event_type END AS kind, ds,
+  CASE shape WHEN 0 THEN cents::VARCHAR WHEN 1 THEN 'c' || cents ELSE (cents / 2)::DOUBLE::VARCHAR END AS amount_text,
+  CASE shape WHEN 0 THEN cents::DOUBLE WHEN 2 THEN (cents / 2)::DOUBLE END AS amount_number FROM r""",
+    "stream_exact_dedup": f"""WITH {MATCH_TIME}
+SELECT DISTINCT "matchId", since AS "frameTimestamp", "goldDiff",
+  CASE WHEN since // 60000 % 2 = 0 THEN TIMESTAMP '2024-05-01 11:00:00' ELSE TIMESTAMP '2024-05-01 12:00:00' END AS arrival FROM mt""",
+    "stream_exact_counts": f"""WITH {MATCH_TIME},
+n AS (
+  SELECT count(*) AS n, count(*) FILTER (since // 60000 % 2 = 1) AS odd, count(DISTINCT ("matchId", since)) FILTER (since // 60000 % 2 = 1) AS odd_keys,
+    count(DISTINCT ("matchId", since)) FILTER (since // 60000 % 2 = 0) AS even_keys FROM mt
+)
+SELECT 0::BIGINT AS batch, 2 * odd AS came, odd_keys AS kept, 2 * odd - odd_keys AS copies, 0::BIGINT AS late FROM n
+UNION ALL SELECT 1, n, even_keys, n - even_keys, even_keys FROM n
+UNION ALL SELECT 2, n, 0, n, 0 FROM n""",
 }

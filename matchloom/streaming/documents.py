@@ -16,8 +16,8 @@ from matchloom.functions import time
 
 
 def documents_in(text: Column) -> Column:
-    """The documents of a file's text as an array of variants; null if it isn't JSON."""
-    parsed = F.try_parse_json(text)
+    """The documents of a file's text as an array of variants; null if it isn't JSON, or blank."""
+    parsed = F.when(text.rlike(r"\S"), F.try_parse_json(text))
     return F.coalesce(F.try_variant_get(parsed, "$", "array<variant>"), F.when(parsed.isNotNull(), F.array(parsed)))
 
 
@@ -27,15 +27,15 @@ def whole_documents(spark: SparkSession, path: str, max_files: int | None = None
 
     A file is read by one task and is in its memory; an array of documents makes a row of each.
     """
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    texts = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    texts = reader.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     listed = texts.select("value", "file", documents_in(F.col("value")).alias("documents"))
     # An empty array has no documents; a text that isn't JSON has one row.
     each = F.when(F.col("documents").isNull(), F.array(F.lit(None).cast("variant"))).otherwise(F.col("documents"))
     rows = listed.select(
-        F.explode(each).alias("document"), "file", F.when(F.col("documents").isNull(), F.col("value")).alias("raw")
+        F.explode(each).alias("document"), "file", F.when(F.col("documents").isNull(), F.coalesce("value", F.lit(""))).alias("raw")
     )
     return rows.select(
         F.try_variant_get("document", "$.metadata.matchId", "string").alias("matchId"),

@@ -164,3 +164,24 @@ def test_kafka_options():
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException):
         gold.kafka_messages(spark, "host:1")
+
+
+def test_whole_documents_of_any_layout(spark, tmp_path):
+    from matchloom.streaming import documents
+
+    files = {
+        "one.json": '{\n "metadata": {"matchId": "M1"},\n "info": {"gameStartTimestamp": 1714521600000, "gameDuration": "7",\n  "participants": [{"participantId": 1, "kills": "many", "extra": {"x": [1]}}, 5]}\n}',
+        "many.json": '[{"metadata": {"matchId": "M2"}, "info": {"participants": []}},\n {"metadata": {"matchId": 3}}, 4]',
+        "none.json": "[]", "broken.json": '{"metadata": {', "empty.json": "",
+    }
+    (tmp_path / "in").mkdir()
+    for name, text in files.items():
+        (tmp_path / "in" / name).write_text(text)
+    found = documents.whole_documents(spark, str(tmp_path / "in"), max_files=2)
+    gold.drain(gold.parquet_sink(found, str(tmp_path / "out"), str(tmp_path / "ck"), (), gold.DRAIN))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(back.where("raw is null"), "matchId", "start") == sorted([("M1", 1714521600000), ("M2", None), ("3", None), (None, None)], key=repr)
+    assert {r["raw"] for r in back.where("raw is not null").collect()} <= {'{"metadata": {', ""}
+    players = documents.typed(documents.whole_players(back), {"participantId": "long", "kills": "long"})
+    got = players.select("matchId", "gameDuration", "participantId", "kills", F.to_json("player").alias("player"))
+    assert rows(got) == sorted([("M1", 7, 1, None, '{"extra":{"x":[1]},"kills":"many","participantId":1}'), ("M1", 7, None, None, "5")], key=repr)
