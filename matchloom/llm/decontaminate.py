@@ -7,13 +7,16 @@ pattern), so most words are never looked at. At shift 0 the block picks the buck
 end in it, the first word of the window narrows it, and the whole window is compared.
 
 Items shorter than a window give patterns of their own length; each length has its own tables.
-Tables go to the tasks in blocks of items of bounded text size; documents pass the blocks one
-after the other, whole, without a shuffle.
+Items go to the tasks in blocks of bounded text size, and each Python worker makes the tables of a
+block for itself; documents pass the blocks one after the other, whole, without a shuffle. After
+``PASS_BLOCKS`` blocks the documents with what was found so far are written to a table, so however
+large the benchmark is, no task holds the tables of more blocks.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -23,12 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from matchloom import workspace
 from matchloom.llm.common import byte_size, free_name, small_batches, utf8
 
 #: Words of a window.
 WINDOW = 10
 #: Most text bytes of the items in one broadcast block of tables (tables take about 50 times that).
 BLOCK_BYTES = 4_000_000
+#: Blocks that documents pass in one job.
+PASS_BLOCKS = 4
 
 #: Columns of the result.
 RESULTS = {
@@ -94,11 +100,23 @@ def tables(items: Iterable[tuple[str, bytes | None]], window: int) -> list[Patte
     return list(by_length.values())
 
 
+#: The tables that this process has made, by the name of their block.
+MADE: dict[str, list[Patterns]] = {}
+
+
+def made_once(name: str, shared: Broadcast, window: int) -> list[Patterns]:
+    if name not in MADE:
+        while len(MADE) >= PASS_BLOCKS:
+            MADE.pop(next(iter(MADE)))
+        MADE[name] = tables(shared.value, window)
+    return MADE[name]
+
+
 def scan(
-    batches: Iterator[pa.RecordBatch], shared: Broadcast, schema: pa.Schema
+    batches: Iterator[pa.RecordBatch], name: str, shared: Broadcast, window: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     """Adds the spans and items that one block of patterns finds to those found so far."""
-    held = shared.value
+    held = made_once(name, shared, window)
     for batch in batches:
         starts = batch.column("starts").to_pylist()
         ends = batch.column("ends").to_pylist()
@@ -190,9 +208,15 @@ def contamination(
         F.expr(none.format("string")).alias("items"),
     )
     arrow = to_arrow_schema(rows.schema)
+    passed: list[Broadcast] = []
     for items in blocks(benchmark, item, item_text, block_bytes, nameless):
-        shared = spark.sparkContext.broadcast(tables(items, window))
-        rows = rows.mapInArrow(partial(scan, shared=shared, schema=arrow), rows.schema)
+        if len(passed) == PASS_BLOCKS:
+            rows = workspace.stored(rows, "scanned")
+            while passed:
+                passed.pop().destroy()
+        passed.append(spark.sparkContext.broadcast(items))
+        step = partial(scan, name=uuid.uuid4().hex, shared=passed[-1], window=window, schema=arrow)
+        rows = rows.mapInArrow(step, rows.schema)
     kept = rows.select(*[f"keep_{i}" for i in range(len(keep))])
     out = kept.schema
     for name, kind in RESULTS.items():
