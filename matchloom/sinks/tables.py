@@ -22,19 +22,30 @@ def balanced(rows: DataFrame, *by: str) -> DataFrame:
     return rows.hint("rebalance", *[F.col(c) for c in by])
 
 
+def many_files(spark: SparkSession):
+    """Settings for a write into many folders: a file costs time whatever its size, so small parts are
+    not merged into fewer tasks than there are cores, and files are renamed once."""
+    return workspace.conf(
+        spark,
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="16k",
+        spark__hadoop__mapreduce__fileoutputcommitter__algorithm__version="2",
+    )
+
+
 def replace_partitions(rows: DataFrame, path: str, by: Sequence[str] = ("ds",)) -> None:
     """Replace the partitions that occur in ``rows`` and keep all others.
 
     The mode is set on the writer: left to a session setting, a forgotten
     setting would remove every other partition.
     """
-    (
-        balanced(rows, *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with many_files(rows.sparkSession):
+        (
+            balanced(rows, *by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*by)
+            .parquet(path)
+        )
 
 
 def append_partitions(rows: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -54,7 +65,8 @@ def land_lines(documents: DataFrame, path: str) -> None:
     can be repeated.
     """
     rows = documents.select("value", "ds", F.lit(run_name()).alias("run"))
-    balanced(rows, "ds").write.mode("append").partitionBy("ds", "run").text(path)
+    with many_files(rows.sparkSession):
+        balanced(rows, "ds").write.mode("append").partitionBy("ds", "run").text(path)
 
 
 def with_event_date(documents: DataFrame) -> DataFrame:

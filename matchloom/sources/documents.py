@@ -147,9 +147,12 @@ def read_staged(spark: SparkSession, root: str, schema: StructType) -> DataFrame
     """Staged Parquet as plain files, ``ds`` taken from each file's path.
 
     Partition discovery is off on purpose: it would type the value by looking at it.
-    A file that can't be read fails the load.
+    A file that can't be read fails the load. Folders are listed by a fixed number of tasks.
     """
-    files = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
+    with workspace.conf(
+        spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=LISTERS
+    ):
+        files = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
     path = F.col("_metadata.file_path")
     return files.select("*", F.to_date(partition_value(path), "yyyy-MM-dd").alias("ds"))
 
