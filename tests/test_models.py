@@ -212,3 +212,26 @@ def test_path_values_equal_subsets():
                     weight = factorial(size) * factorial(d - size - 1) / factorial(d)
                     expected += weight * 3.0 * (o[i] - z[i]) * np.prod(o[list(inside)]) * np.prod(z[outside])
             assert row[i] == pytest.approx(expected, abs=1e-12)
+
+
+def test_dot_plot_is_bounded_and_keeps_every_row(spark):
+    given = spark.range(5000).select(
+        (F.col("id") % 97).cast("double").alias("a"), F.when(F.col("id") % 5 > 0, F.col("id").cast("double")).alias("b"),
+        ((F.col("id") % 97) * 2.0).alias("pa"), F.when(F.col("id") % 2 == 0, -F.col("id").cast("double")).alias("pb"),
+    )
+    made = explain.dot_plot(given, {"a": F.col("a"), "b": F.col("b")}, {"a": F.col("pa"), "b": F.col("pb")}, bins=10)
+    got = {(r["feature"], r["bin"]): r for r in made.collect()}
+    assert len([k for k in got if k[0] == "a"]) == len([k for k in got if k[0] == "b"]) == 10
+    assert sum(r["rows"] for k, r in got.items() if k[0] == "a") == 5000
+    assert sum(r["rows"] for k, r in got.items() if k[0] == "b") == 2500
+    colours = [got["a", i]["colour"] for i in range(10)]
+    assert colours == sorted(colours) and colours[0] < 0.1 and colours[-1] > 0.9
+    assert [got["b", i]["colour"] for i in range(10)] == sorted([got["b", i]["colour"] for i in range(10)], reverse=True)
+    assert all(r["low"] <= r["mean_phi"] <= r["high"] for r in got.values())
+    assert explain.dot_plot(given.limit(0), {"a": F.col("a")}, {"a": F.col("pa")}).count() == 0
+
+
+def test_reports_with_leafwise_trees(matches):
+    means = influence.role_influence(matches, leafwise=True, trees=3, leaves=4).collect()
+    assert [r["ROLE"] for r in means] == ["TOP", "JNG"]
+    assert sum(r["MEAN_PCT"] for r in means) == pytest.approx(100, abs=0.05)
