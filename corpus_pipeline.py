@@ -19,7 +19,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; of rows that repeat an id, one row.
+    """One document of each group of near-duplicates; of rows that repeat an id, the one whose text, and
+    then whose whole row as JSON, comes first, by the MD5 of the text.
 
     Documents without an id or without words are in no group and stay.
     """
@@ -31,7 +32,10 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         return left
     twice = bounded(workspace.stored(twice, "repeated-ids"))
     once = left.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    first = F.min_by(row, F.struct(F.md5("text"), F.to_json(row)))
+    chosen = left.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(first.alias("row"))
+    return once.unionByName(chosen.select("row.*"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
