@@ -12,7 +12,7 @@ from matchloom.operators import replay, timeline
 from matchloom.plans import daily, influence
 from matchloom.sinks import tables as sinks
 from matchloom.sources import documents, tables
-from matchloom.streaming import gold
+from matchloom.streaming import exact, gold
 
 
 def players(spark: SparkSession, args) -> None:
@@ -52,18 +52,30 @@ def gold_stream(spark: SparkSession, args) -> None:
 
 def dedup_stream(spark: SparkSession, args) -> None:
     once = gold.without_redelivery(gold.gold_rows(stream_input(spark, args)), args.delay)
-    gold.dedup_sink(
+    query = gold.dedup_sink(
         gold.with_day(once), args.output, args.checkpoint,
         trigger=stream_trigger(args), partitions=args.partitions,
+    )
+    query.awaitTermination()
+    print(f"rows behind the watermark: {gold.dropped(query)}")
+
+
+def exact_stream(spark: SparkSession, args) -> None:
+    rows = gold.gold_rows(stream_input(spark, args))
+    exact.exact_sink(
+        rows, args.output, args.checkpoint, late=args.delay, trigger=stream_trigger(args)
     ).awaitTermination()
+    exact.counts(spark, args.output).orderBy("batch").show()
 
 
 def window_stream(spark: SparkSession, args) -> None:
     rows = gold.gold_rows(stream_input(spark, args))
-    gold.changes_sink(
+    query = gold.changes_sink(
         gold.gold_by_window(rows, args.delay, args.width), args.output, args.checkpoint,
-        stream_trigger(args), args.partitions,
-    ).awaitTermination()
+        stream_trigger(args), args.partitions, hold_seconds=args.hold,
+    )
+    query.awaitTermination()
+    print(f"rows behind the watermark: {gold.dropped(query)}")
 
 
 def replay_messages(spark: SparkSession, args) -> None:
@@ -136,6 +148,9 @@ def parser() -> argparse.ArgumentParser:
         made.add_argument("--delay", default="10 minutes", help="how far apart copies arrive")
         made.add_argument("--partitions", type=int, help="of the state, kept from the first start on")
     made.add_argument("--width", default="1 minute")
+    made.add_argument("--hold", type=float, default=3600, help="seconds that folded parts stay for readers")
+    made = stream("exact-stream", exact_stream)
+    made.add_argument("--delay", default="10 minutes", help="what counts as late; late rows are kept")
 
     made = job("replay", replay_messages, "file")
     made.add_argument("--bootstrap-server")

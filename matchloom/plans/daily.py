@@ -45,6 +45,11 @@ class Paths:
     def timeline_inbox(self) -> str:
         return self._below("inbox/match_timeline")
 
+    @property
+    def skipped(self) -> str:
+        """How many documents each run left out, and why."""
+        return self._below("reports/skipped")
+
     @property
     def matches(self) -> str:
         return self._below("raw/match")
@@ -98,7 +103,9 @@ def collect(
         found = documents.read_whole(spark, path).join(ids, "matchId", "left_semi")
         return flatten.distinct_documents(found.select("matchId", "start", "value"))
 
-    dated = workspace.stored(sinks.with_event_date(chosen(paths.match_inbox)), "matches")
+    found = workspace.stored(chosen(paths.match_inbox), "matches")
+    sinks.without_start(found).write.mode("overwrite").json(f"{paths.skipped}/ds={ds}")
+    dated = sinks.with_event_date(found)
     days = sorted(row["ds"] for row in dated.select("ds").distinct().collect())
     if not days:
         return days
@@ -176,6 +183,12 @@ def day_report(spark: SparkSession, ds: str | dt.date, target: str) -> DataFrame
     return roles.role_daily_mean(tables.one_day(written, "DS", ds))
 
 
+def days_report(spark: SparkSession, days: Sequence[dt.date], target: str) -> DataFrame:
+    """Mean contribution per role over several days."""
+    written = spark.read.schema(schemas.ROLE_CONTRIBUTION).parquet(target)
+    return roles.role_daily_mean(tables.these_days(written, "DS", days))
+
+
 def run(
     spark: SparkSession,
     root: str,
@@ -184,7 +197,7 @@ def run(
     limit_users: int | None = None,
     **params,
 ) -> DataFrame:
-    """All stages of a day; returns the day's mean contribution per role.
+    """All stages of a day; returns the mean contribution per role over all days that the run landed.
 
     All days that the run landed go through each stage in one job.
     """
@@ -204,4 +217,4 @@ def run(
     build_features(spark, days, paths.players, paths.features)
     train(spark, paths.features, paths.model, **params)
     explain_days(spark, days, paths.features, paths.model, paths.roles)
-    return day_report(spark, days[0] if len(days) == 1 else ds, paths.roles)
+    return days_report(spark, days, paths.roles)

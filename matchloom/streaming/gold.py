@@ -197,10 +197,12 @@ def dropped(query: StreamingQuery) -> int:
 
 def changes_sink(
     rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-    partitions: int | None = None, fold_every: int = 100,
+    partitions: int | None = None, fold_every: int = 100, hold_seconds: float = 0,
 ) -> StreamingQuery:
     """Write the changed result rows of each batch, and fold them every so many batches.
 
+    Where others read the folder meanwhile, ``hold_seconds`` is longer than any of them takes.
+
     A later row of a window is never less than an earlier one in ``LATEST``, so the
     greatest is the current one: batches may be written twice, in any order and under
     several checkpoints without changing what is read.
@@ -211,7 +213,7 @@ def changes_sink(
         part.write.mode("append").partitionBy("ds", "part").parquet(path)
         if number % fold_every == fold_every - 1:
             for row in batch.select("ds").distinct().collect():  # days of arrival: one or two
-                fold_changes(batch.sparkSession, path, row["ds"])
+                fold_changes(batch.sparkSession, path, row["ds"], hold_seconds=hold_seconds)
 
     with stateful(rows.sparkSession, partitions):
         return (
@@ -234,14 +236,21 @@ def greatest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def fold_changes(spark: SparkSession, path: str, ds, keys: Sequence[str] = WINDOW_KEYS) -> None:
-    """One part instead of a day's many. A crash on the way leaves rows twice, which is harmless."""
+def fold_changes(
+    spark: SparkSession, path: str, ds, keys: Sequence[str] = WINDOW_KEYS, hold_seconds: float = 0
+) -> None:
+    """One part instead of a day's many. A crash on the way leaves rows twice, which is harmless.
+
+    Parts that were written less than ``hold_seconds`` ago stay until a later fold, since a reader may have
+    listed them; what they hold is read twice then.
+    """
     day = f"{path}/ds={ds}"
     parts = workspace.listed(spark, day, "part=")
     if len(parts) > 1:
+        old = [p for p in parts if workspace.age(spark, p) >= hold_seconds]
         folded = greatest(spark.read.parquet(*parts), keys)
         folded.write.parquet(f"{day}/part=folded-{uuid.uuid4().hex}")
-        for part in parts:
+        for part in old:
             workspace.removed(spark, part)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from contextlib import contextmanager
 from functools import cache
@@ -53,6 +54,12 @@ def listed(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     return sorted(p.toString() for p in found if p.getName().startswith(prefix))
 
 
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a folder was last written to."""
+    fs, hadoop_path = file_system(spark, path)
+    return time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder."""
     fs, hadoop_path = file_system(spark, path)

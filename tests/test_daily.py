@@ -108,6 +108,12 @@ def test_rerun_changes_nothing(spark, ran):
     assert again == report
 
 
+def test_what_a_run_left_out_is_counted(spark, ran):
+    root, _, _ = ran
+    counted = spark.read.json(str(root / "reports/skipped")).where(F.col("ds") == F.lit(DAY))
+    assert counted.select("without_start", "not_json").count() == 1
+
+
 def test_day_without_matches(spark, ran):
     root, _, _ = ran
     report = daily.run(spark, str(root), "2023-01-01", **SMALL)
@@ -154,6 +160,12 @@ def test_jobs(spark, tmp_path, capsys):
         "--checkpoint", tmp_path / "c2", "--drain", "--partitions", "2",
     )
     assert gold.latest_changes(spark, str(tmp_path / "shown")).count() == 2
+    run_job(
+        spark, "exact-stream", "--input", tmp_path / "sent", "--output", tmp_path / "exact",
+        "--checkpoint", tmp_path / "c3", "--drain",
+    )
+    out = capsys.readouterr().out
+    assert out.count("rows behind the watermark: 0") == 2 and "copies" in out
 
 
 def test_players_job_keeps_all_fields(spark, tmp_path):
