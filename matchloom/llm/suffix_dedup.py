@@ -5,14 +5,15 @@ has the same bytes. No task can hold all suffixes, so they are dealt by content:
 least hash of the ``k``-byte grams inside it, which equal strings share. Consecutive suffixes with the
 same least gram, in the same place, are one run and travel as one stretch of text.
 
-1. Runs whose gram is met once in the corpus are done: nothing in them repeats. This takes 24 bytes
-   for a run, about one run for 85 bytes, and no text.
+1. Runs whose gram is met once in the corpus are done: nothing in them repeats. This takes 28 bytes
+   for a run, about one run for 85 bytes, and no text. Runs that follow each other and are the same
+   stretch, as in periodic text, are one row with their number.
 2. Runs of one gram that are all the same stretch repeat as a whole.
 3. Of the others each distinct stretch is fetched once. The suffixes of a gram's stretches are sorted
-   deep-shallow: by 8-byte characters, one ``np.lexsort`` over all open segments for each depth, to
-   ``SHALLOW`` bytes, and not a multikey quicksort with three-way partitions: a sort of whole arrays
-   takes the place of a Python step for each segment and pivot. The order is the same; what is still
-   together has a long common prefix and goes into blind tries, which compare each suffix with one other.
+   deep-shallow: a multikey quicksort by 8-byte characters parts every open segment around a pivot of its
+   own into less, equal and greater, the equal ones going on with the next character, to ``SHALLOW`` bytes;
+   one pass of array operations parts all segments at once. What is still together has a long common
+   prefix and goes into blind tries, which compare each suffix with one other.
 4. A gram with more than ``GROUP`` different stretches is not sorted in one task. Its stretches are
    dealt again by longer grams, at last by whole strings, of which no two stretches differ.
 
@@ -41,7 +42,7 @@ GRAMS = (32, 128, LENGTH)
 #: Depth of the shallow sort.
 SHALLOW = 40
 #: Most different stretches of a gram that one task sorts.
-GROUP = 4096
+GROUP = 1024
 #: Suffixes sorted at once.
 CHUNK = 300_000
 #: Most spans that are broadcast, 8 bytes each beside their rows.
@@ -51,7 +52,7 @@ BYTE = np.random.default_rng(23).integers(0, 2**64, 256, dtype=np.uint64)
 
 
 def runs(text: bytes, gram: int) -> tuple[np.ndarray, ...]:
-    """First suffix, number of suffixes, gram hash and stretch hash of each run of a text."""
+    """First suffix, number of suffixes, gram hash, stretch hash and times in a row of each run of a text."""
     data = np.frombuffer(text, np.uint8)
     suffixes = len(data) - LENGTH + 1
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE[data] * powers(BASE, len(data)))))
@@ -69,11 +70,16 @@ def runs(text: bytes, gram: int) -> tuple[np.ndarray, ...]:
     counts = np.diff(np.concatenate((starts, [suffixes])))
     ends = starts + counts + LENGTH - 1
     stretch = mix((total[ends] - total[starts]) * back[starts] + counts.astype(np.uint64))
-    return starts, counts, least[starts].view(np.int64), stretch.view(np.int64)
+    grams = least[starts]
+    first = np.concatenate(
+        ([True], (grams[1:] != grams[:-1]) | (stretch[1:] != stretch[:-1]) | (counts[1:] != counts[:-1]))
+    )
+    times = np.diff(np.concatenate((np.flatnonzero(first), [len(starts)])))
+    return starts[first], counts[first], grams[first].view(np.int64), stretch[first].view(np.int64), times
 
 
 def find_runs(batches: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.RecordBatch]:
-    names = ["r1", "r2", "start", "n", "gram", "stretch"]
+    names = ["r1", "r2", "start", "n", "gram", "stretch", "times"]
     for batch in batches:
         rows, found = [], []
         for row, text in enumerate(batch.column("text").to_pylist()):
@@ -82,12 +88,12 @@ def find_runs(batches: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.Recor
                 rows.append(np.full(len(found[-1][0]), row))
         if found:
             at = pa.array(np.concatenate(rows))
-            starts, counts, grams, stretches = (np.concatenate(x) for x in zip(*found))
+            starts, counts, grams, stretches, times = (np.concatenate(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("r1").take(at), batch.column("r2").take(at),
                     pa.array(starts.astype(np.int32)), pa.array(counts.astype(np.int32)),
-                    pa.array(grams), pa.array(stretches),
+                    pa.array(grams), pa.array(stretches), pa.array(times.astype(np.int32)),
                 ],
                 names=names,
             )
@@ -137,24 +143,69 @@ class BlindTrie:
                 stack.extend(node[1][byte] for byte in sorted(node[1], reverse=True))
 
 
+def median_of_three(characters: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The middle one of the first, the middle and the last character of each segment."""
+    a, b, c = (characters[begin + at] for at in (0, size // 2, size - 1))
+    return np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))
+
+
+def shallow_sort(data: np.ndarray, at: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes that share ``SHALLOW`` bytes with another of their segment, those that do side by side, and
+    the number of each such group. ``segment`` rises."""
+    words = np.lib.stride_tricks.sliding_window_view(data, 8)
+    order = np.arange(len(at), dtype=np.int32)
+    depth = np.zeros(len(at), np.int32)
+    new = np.concatenate(([True], segment[1:] != segment[:-1]))
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    groups = 0
+    while True:
+        begin = np.flatnonzero(new)
+        size = np.diff(np.concatenate((begin, [len(order)])))
+        # A suffix alone in its segment is in its place; one that shares enough goes to the deep phase.
+        deep = (size > 1) & (depth[begin] >= SHALLOW)
+        if deep.any():
+            done.append((order[np.repeat(deep, size)], np.repeat(np.arange(groups, groups + int(deep.sum())), size[deep])))
+            groups += int(deep.sum())
+        left = (size > 1) & ~deep
+        if not left.any():
+            break
+        rows = np.repeat(left, size)
+        order, depth, size = order[rows], depth[rows], size[left]
+        begin = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        characters = words[at[order] + depth].view(">u8").ravel().astype(np.uint64)
+        pivot = median_of_three(characters, begin, size)[of]
+        less, equal = characters < pivot, characters == pivot
+        # Where each suffix goes: behind those of its part before it, and behind the parts before its own.
+        n_less, n_equal = np.add.reduceat(less, begin, dtype=np.int32), np.add.reduceat(equal, begin, dtype=np.int32)
+        rank_less, rank_equal = np.cumsum(less, dtype=np.int32) - less, np.cumsum(equal, dtype=np.int32) - equal
+        rank_less -= rank_less[begin][of]
+        rank_equal -= rank_equal[begin][of]
+        first = begin.astype(np.int32)[of]
+        up_to = n_less[of]
+        greater = np.arange(len(order), dtype=np.int32) - rank_less - rank_equal + up_to + n_equal[of]
+        place = np.where(less, first + rank_less, np.where(equal, first + up_to + rank_equal, greater))
+        parted, deeper = np.empty_like(order), np.empty_like(depth)
+        parted[place], deeper[place] = order, depth + 8 * equal
+        order, depth = parted, deeper
+        new = np.zeros(len(order), bool)
+        new[begin] = True
+        for ahead in (begin + n_less, begin + n_less + n_equal):
+            new[ahead[ahead < len(order)]] = True
+    if not done:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate([o for o, _ in done]), np.concatenate([g for _, g in done])
+
+
 def together(data: np.ndarray, at: np.ndarray, segment: np.ndarray) -> np.ndarray:
     """Which suffixes of a segment, cut at ``LENGTH``, equal another of the same segment.
 
     ``data`` holds the stretches one after the other, ``at`` where each suffix begins.
     """
     repeats = np.zeros(len(at), bool)
-    words = np.lib.stride_tricks.sliding_window_view(data, 8)
-    order = np.arange(len(at))
-    for depth in range(0, SHALLOW, 8):
-        characters = words[at[order] + depth].view(">u8").ravel()
-        placed = np.lexsort((characters, segment))
-        order, segment, characters = order[placed], segment[placed], characters[placed]
-        new = np.concatenate(([True], (segment[1:] != segment[:-1]) | (characters[1:] != characters[:-1])))
-        segment = np.cumsum(new) - 1
-        more = np.bincount(segment)[segment] > 1  # a suffix alone in its segment is in its place
-        order, segment = order[more], segment[more]
-        if not len(order):
-            return repeats
+    order, segment = shallow_sort(data, at, segment)
+    if not len(order):
+        return repeats
     edges = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1], [True]))).tolist()
     whole, places, names = data.tobytes(), at[order].tolist(), order.tolist()
     for begin, end in zip(edges, edges[1:]):
@@ -239,22 +290,24 @@ def repeats(texts: DataFrame, grams: tuple[int, ...] = GRAMS) -> DataFrame:
     """
     small_batches(texts.sparkSession)
     all_runs = texts.mapInArrow(
-        partial(find_runs, gram=grams[0]), "r1 long, r2 long, start int, n int, gram long, stretch long"
+        partial(find_runs, gram=grams[0]), "r1 long, r2 long, start int, n int, gram long, stretch long, times int"
     )
     met = (
         all_runs.groupBy("gram")
-        .agg(F.count("*").alias("times"), F.min("stretch").alias("lo"), F.max("stretch").alias("hi"))
-        .where("times > 1")
+        .agg(F.sum("times").alias("met"), F.min("stretch").alias("lo"), F.max("stretch").alias("hi"))
+        .where("met > 1")
         .select("gram", (F.col("lo") != F.col("hi")).alias("differ"))
     )
     # Stored, so that the join has a shuffle of its own, in which a frequent gram can be split.
     met = workspace.stored(all_runs.join(workspace.stored(met, "met"), "gram"), "runs")
-    spans = met.where("not differ").select("r1", "r2", F.col("start").alias("from"), (F.col("start") + F.col("n") + LENGTH - 1).alias("to"))
+    spans = met.where("not differ").select(
+        "r1", "r2", F.col("start").alias("from"), (F.col("start") + F.col("times") * F.col("n") + LENGTH - 1).alias("to")
+    )
 
     mixed = met.where("differ")
     stretches = workspace.stored(
         mixed.groupBy("gram", "stretch").agg(
-            F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("r1", "r2", "start", "n")]
+            F.sum("times").alias("copies"), *[F.first(c).alias(c) for c in ("r1", "r2", "start", "n")]
         ),
         "stretches",
     )
@@ -280,9 +333,9 @@ def repeats(texts: DataFrame, grams: tuple[int, ...] = GRAMS) -> DataFrame:
         deeper = repeats(again.select(F.col("gram").alias("r1"), F.col("stretch").alias("r2"), "text"), grams[1:])
         whole = again.where("copies > 1").select("gram", "stretch", F.lit(0).alias("from"), F.length("text").alias("to"))
         found = found.unionByName(deeper.select(F.col("r1").alias("gram"), F.col("r2").alias("stretch"), "from", "to")).unionByName(whole)
-    back = mixed.join(found, ["gram", "stretch"]).select(
-        "r1", "r2", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to")
-    )
+    # A stretch that follows itself repeats as a whole, so its span goes on to the end of the last one.
+    end = F.col("start") + (F.col("times") - 1) * F.col("n") + F.col("to")
+    back = mixed.join(found, ["gram", "stretch"]).select("r1", "r2", (F.col("start") + F.col("from")).alias("from"), end.alias("to"))
     return spans.unionByName(back)
 
 

@@ -96,6 +96,42 @@ def test_blind_trie_orders_and_joins_equal_strings():
 def test_runs_cover_every_suffix_once():
     text = sentence(9, 300).encode()
     for gram in suffix_dedup.GRAMS:
-        starts, counts, _, _ = suffix_dedup.runs(text, gram)
-        covered = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, counts)])
+        starts, counts, _, _, times = suffix_dedup.runs(text, gram)
+        covered = np.concatenate([np.arange(s, s + n * k) for s, n, k in zip(starts, counts, times)])
         assert covered.tolist() == list(range(len(text) - suffix_dedup.LENGTH + 1))
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 31, 150, 400])
+def test_periodic_texts_are_few_runs(period):
+    draw = random.Random(period)
+    text = (bytes(draw.choices(range(97, 123), k=period)) * (300_000 // period + 1))[:300_000]
+    starts, counts, _, _, times = suffix_dedup.runs(text, suffix_dedup.GRAMS[0])
+    assert len(starts) < 6000
+    assert int((counts * times).sum()) == len(text) - suffix_dedup.LENGTH + 1
+
+
+def test_periodic_texts_equal_brute_force(spark):
+    words = ["ab", "abc", "x" * 31 + "y", sentence(3, 12)]
+    rows = [(i, w * (2500 // len(w))) for i, w in enumerate(words)]
+    rows += [(10, "ab" * 99 + "a"), (11, "ab" * 150 + sentence(4, 40)), (12, sentence(3, 12) * 2 + "!"), (13, "zab" * 80 + "ab" * 120), (14, "abc" * 70)]
+    assert got(spark, rows) == brute_force(rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_shallow_sort_equals_sorting(seed):
+    """Groups of equal first bytes, in order, out of segments of any size."""
+    draw = random.Random(seed)
+    alphabet = [b"a", b"b", bytes(8), b"\xff" * 8, b"abcdefgh" * 4][: 2 + seed]
+    data = np.frombuffer(b"".join(draw.choices(alphabet, k=4000)) + bytes(300), np.uint8)
+    at = np.array(draw.sample(range(3000), 1500))
+    segment = np.sort([draw.choice([0, 0, 0, 1, 2, draw.randint(3, 200)]) for _ in at])
+    depth = suffix_dedup.SHALLOW
+    order, group = suffix_dedup.shallow_sort(data, at, segment)
+    prefix = [(int(s), data[a : a + depth].tobytes()) for s, a in zip(segment, at)]
+    counted = Counter(prefix)
+    assert sorted(order.tolist()) == [i for i, p in enumerate(prefix) if counted[p] > 1]
+    by_group = {}
+    for i, g in zip(order.tolist(), group.tolist()):
+        by_group.setdefault(g, set()).add(prefix[i])
+    assert all(len(p) == 1 for p in by_group.values())
+    assert len(by_group) == sum(n > 1 for n in counted.values())
