@@ -15,8 +15,10 @@ register with about the probability of their Jaccard similarity.
 4. Links are confirmed on the full sets, in three rounds: each member with the centre of its family in the
    bucket; then with its likeliest partner in another component; then every likely pair that is still
    in different components. A group of copies is one component after the first round and has no pairs
-   in the others. An id that repeats with other texts joins the classes of all of them. The last round confirms inside the task that finds the pair, in one of the buckets
-   the two share, and gives out links only, so no pairs travel and no link is lost.
+   in the others. The first round looks for ``CENTRES`` centres in a block and leaves the rest to the
+   others. An id that repeats with other texts joins the classes of all of them. The last round confirms
+   inside the task that finds the pair, in one of the buckets the two share, and gives out links only, so no
+   pairs travel and no link is lost; a row goes there once for each block of its bucket, with its text.
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ LOG_BASE, RATE = 1.001, 20.0
 LIKELY = 0.55
 #: Rows of a bucket in one block; a task compares two blocks. Of a block when centres are looked for.
 BLOCK, CENTRE_BLOCK = 2048, 16384
+#: Centres that are looked for in a block. Members without one are compared in the later rounds.
+CENTRES = 64
 #: Rows of a family are at least so near its centre, in equal registers.
 FAMILY = 0.7
 #: Text bytes sketched at once; a task needs about 100 times that.
@@ -184,14 +188,16 @@ class Group:
     def likely(self, i: np.ndarray, j: np.ndarray, above: np.ndarray, below: np.ndarray) -> np.ndarray:
         return likelihood(above, below, self.sizes[i], self.sizes[j]) >= LIKELY
 
-    def stars(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Each member with the centre of its family.
+    def stars(self, centres: int = CENTRES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each member with the centre of its family, for so many centres.
 
         A centre is the member that agrees most with the commonest value of each register: the
         text that copies were made of, where each of them differs in another place.
         """
         left = np.arange(len(self.ids))
-        while len(left) > 1:
+        for _ in range(centres):
+            if len(left) < 2:
+                break
             sketches = self.sketches[left]
             if len(left) <= 8:
                 agree = (sketches[:, None, :] == sketches[None]).sum((1, 2))
@@ -213,15 +219,18 @@ class Group:
         looked_at = (self.rows["buckets"][i] >> np.arange(BANDS)) & 1
         return (same & (looked_at == 1)).argmax(1) == self.rows["band"][i]
 
-    def every(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All links that join components, but for those that earlier ones joined already."""
-        pairs = []
+    def likely_here(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each position with the later ones that it is likely to be near, where this is their first bucket."""
         for i, j, above, below in self.candidates():
             here = self.meet_here(i, j)
             if here.any():
-                j, first = j[here], np.full(here.sum(), i)
-                hold = self.likely(first, j, above[here], below[here])
-                pairs += zip(first[hold].tolist(), j[hold].tolist())
+                hold = self.likely(np.full(here.sum(), i), j[here], above[here], below[here])
+                if hold.any():
+                    yield i, j[here][hold]
+
+    def every(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All links that join components, but for those that earlier ones joined already."""
+        pairs = [(i, k) for i, j in self.likely_here() for k in j.tolist()]
         used = sorted({x for pair in pairs for x in pair})
         held: dict[int, np.ndarray] = {}
         for begin in range(0, len(used), 256):
@@ -264,24 +273,29 @@ class Group:
             yield self.ids[have[hold]], self.ids[partner[have[hold]]]
 
 
-def pairs_apart(members: DataFrame, which: str) -> DataFrame:
-    """Likely pairs ``a > b``, from ``key, rows, rep, n, registers, component``.
+BLOCKS = ["key", "lo", "hi"]
 
-    ``stars``: each member with its family's centre, inside a block. Of the pairs with members of other
-    components, also between blocks, the ``nearest`` of each, or the confirmed links among ``every`` one;
-    these need ``text``, ``band`` and ``buckets`` too.
-    """
-    extra = ["text", "band", "buckets"] if which == "every" else []
+
+def in_blocks(members: DataFrame, which: str) -> DataFrame:
+    """A row for each two blocks of a bucket that a member is compared in; for ``stars`` its own block only."""
     blocks = F.ceil(F.col("rows") / (CENTRE_BLOCK if which == "stars" else BLOCK))
     dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     if which == "stars":
         spread = dealt.withColumn("other", F.col("block"))
     else:
         spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
-    spread = spread.select(
-        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-        "rep", "n", "registers", "component", "block", *extra,
-    )
+    return spread.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+
+
+def pairs_apart(placed: DataFrame, which: str) -> DataFrame:
+    """Likely pairs ``a > b`` of the rows ``in_blocks``, which have ``n, registers, component`` too.
+
+    ``stars``: each member with its family's centre, inside a block. Of the pairs with members of other
+    components, also between blocks, the ``nearest`` of each, or the confirmed links among ``every`` one; these
+    need ``text``, ``band`` and ``buckets`` too.
+    """
+    extra, centres = ["text", "band", "buckets"] if which == "every" else [], CENTRES
+    spread = placed.select(*BLOCKS, "rep", "n", "registers", "component", "block", *extra)
     ordered = spread.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep")
 
     def emit(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -297,7 +311,7 @@ def pairs_apart(members: DataFrame, which: str) -> DataFrame:
             label = columns["component"][begin:end]
             if (label != label[0]).any():
                 group = Group({n: x[begin:end] for n, x in columns.items()}, columns["lo"][begin] != columns["hi"][begin])
-                yield from getattr(group, which)()
+                yield from group.stars(centres) if which == "stars" else getattr(group, which)()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -314,7 +328,7 @@ def pairs_apart(members: DataFrame, which: str) -> DataFrame:
             held.append(batch)
             rows = pa.Table.from_batches(held)
             # The last group may go on in the next batch.
-            last = [rows.column(n).to_numpy() for n in ("key", "lo", "hi")]
+            last = [rows.column(n).to_numpy() for n in BLOCKS]
             same = np.logical_and.reduce([x == x[-1] for x in last])
             done = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             if done:
@@ -331,9 +345,12 @@ def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
     placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
-    several = (
+    placed = workspace.stored(placed, "placed")
+    # Stored, so that the join has a shuffle of its own, in which a large bucket can be split.
+    several = workspace.stored(
         placed.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"))
-        .where("first < last").select("key")
+        .where("first < last").select("key"),
+        "several",
     )
     return placed.join(several, "key", "left_semi")
 
@@ -381,8 +398,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     The id must be a whole number. Rows of one id are one document for linking, and each gets its
-    row. A row without id, or without words, is linked with nothing: its component is its own id and
-    it is kept. Empty input gives no rows; other columns are not read.
+    row. A row without id, or without words, is linked with nothing: its component is its own id, and
+    it is kept; without an id both are null. Empty input gives no rows; other columns are not read.
     """
     small_batches(docs.sparkSession)
     rows = workspace.stored(sketched(docs, key, text), "sketches")
@@ -406,7 +423,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .agg(F.min("key").alias("key"))
         .select("key", "rows")
     )
-    members = workspace.stored(bands.join(buckets, "key"), "buckets")
+    members = workspace.stored(bands.join(workspace.stored(buckets, "bucket-sizes"), "key"), "buckets")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         ids = workspace.stored(pairs.select(F.explode(F.array(*pairs.columns)).alias("id")).distinct(), "ids")
@@ -416,7 +433,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         )
 
     alone = members.join(classes, "rep").withColumn("component", F.col("rep"))
-    tested = workspace.stored(pairs_apart(alone, "stars"), "pairs")
+    tested = workspace.stored(pairs_apart(in_blocks(alone, "stars"), "stars"), "pairs")
     links = workspace.stored(confirmed(tested, texts_of(tested)), "confirmed")
     through = through_ids(named, reps)
     if through is not None:
@@ -427,14 +444,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         if rows_left.isEmpty():
             break
         if which == "nearest":
-            pairs = pairs_apart(rows_left.join(classes, "rep"), which).join(tested, ["a", "b"], "left_anti")
+            pairs = pairs_apart(in_blocks(rows_left.join(classes, "rep"), which), which).join(tested, ["a", "b"], "left_anti")
             pairs = workspace.stored(pairs, "pairs")
             more = confirmed(pairs, texts_of(pairs))
         else:
             looked_at = members.groupBy("rep").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), "band")).alias("buckets"))
             ids = workspace.stored(rows_left.select(F.col("rep").alias("a")).distinct(), "ids")
             whole = classes.join(looked_at, "rep").join(texts_of(ids).withColumnRenamed("id", "rep"), "rep")
-            more = pairs_apart(rows_left.join(whole, "rep"), which)
+            more = pairs_apart(in_blocks(rows_left.join(whole, "rep"), which), which)
         more = workspace.stored(more, "confirmed")
         if not more.isEmpty():
             # Components so far stand for the links they were made of.
@@ -449,5 +466,5 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     single = out.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
     return linked.unionByName(single).select(
         "doc_id", "n_shingles", "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        (F.col("doc_id") == F.col("component_id")).alias("kept"),
     )

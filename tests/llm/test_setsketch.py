@@ -1,6 +1,7 @@
 """SetSketch near-duplicates against all pairs of small tables, and the sketch itself."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -39,7 +40,7 @@ def brute_force(data):
                 parent[y] = x
     return sorted(
         (
-            (key, len(s), *((root(key), key == root(key)) if s and key is not None else (key, True)))
+            (key, len(s), *((root(key), key == root(key)) if s and key is not None else (key, None if key is None else True)))
             for key, s in found
         ),
         key=repr,
@@ -101,6 +102,26 @@ def test_an_id_with_several_texts_joins_their_groups(spark):
     assert {r[2] for r in made if r[1] and r[0] != 40} == {5}
 
 
+def test_a_large_block_without_families_ends(spark):
+    """16,384 sketches that are alike in a few registers only: centres are looked for a bounded number of times."""
+    draw = np.random.default_rng(5)
+    sketches = draw.integers(20000, 20400, (setsketch.CENTRE_BLOCK, setsketch.REGISTERS)).astype(np.uint16)
+    rows_ = {
+        "rep": np.arange(len(sketches)), "n": np.full(len(sketches), 300), "component": np.arange(len(sketches)),
+        "registers": [s.tobytes() for s in sketches],
+    }
+    begun = time.process_time()
+    found = list(setsketch.Group(rows_, False).stars())
+    assert len(found) == setsketch.CENTRES
+    assert time.process_time() - begun < 60
+
+
+@pytest.mark.parametrize("centres", [1, 3])
+def test_fewer_centres_change_nothing(spark, corpus, monkeypatch, centres):
+    monkeypatch.setattr(setsketch, "CENTRES", centres)
+    assert got(spark, corpus) == brute_force(corpus)
+
+
 def test_empty_table(spark):
     assert got(spark, []) == []
 
