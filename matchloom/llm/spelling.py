@@ -190,7 +190,7 @@ def neighbours(words: DataFrame, least: int = LENGTH, tile: int = TILE) -> DataF
     """``word, n_near, best_n, best`` of each word that has a near one: how many, and the most frequent of
     them, of equals the first in code-point order."""
     key = ["m", "part", "agree", "x", "y"]
-    rows = tiled(buckets(words, least), tile)
+    rows, together = tiled(buckets(words, least), tile), ROWS
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -198,7 +198,7 @@ def neighbours(words: DataFrame, least: int = LENGTH, tile: int = TILE) -> DataF
         for batch in batches:
             held.append(batch)
             waiting += batch.num_rows
-            if waiting < ROWS:
+            if waiting < together:
                 continue
             whole = pa.Table.from_batches(held)
             keys = np.stack([whole.column(c).to_numpy() for c in key])

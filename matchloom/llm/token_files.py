@@ -62,6 +62,19 @@ def byte_letters() -> str:
     return "".join(chr(256 + others.index(b) if b in others else b) for b in range(256))
 
 
+class Pieces(dict):
+    """The ids of each piece of text that was asked for."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        mapped = piece.encode().decode("latin-1").translate(self.letters)
+        self[piece] = ids = array("I", [token.id for token in self.model.tokenize(mapped)]).tobytes()
+        return ids
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, as little-endian unsigned 32-bit integers.
 
@@ -74,7 +87,6 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
         made = json.loads(self.tokenizer.to_str())
         cut = made["pre_tokenizer"] or {}
         self.by_piece = (
@@ -83,28 +95,21 @@ class Encoder:
             and cut.get("use_regex", True)
             and not cut["add_prefix_space"]
         )
-        self.known: dict[str, bytes] = {}
-        self.letters = byte_letters()
+        self.known = Pieces(self.tokenizer.model)
 
     def direct(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return array("I", [token.id for token in self.model.tokenize(mapped)]).tobytes()
-
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self.direct(texts)
         cut = [PIECE.findall(t) if KNOWN.fullmatch(t) else [] for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known, piece = self.known, self.piece
-        for p in {p for parts in cut for p in parts if p not in known}:
-            known[p] = piece(p)
         whole = iter(self.direct([t for t, parts in zip(texts, cut) if t and not parts]))
-        return [b"".join([known[p] for p in parts]) if parts or not t else next(whole) for t, parts in zip(texts, cut)]
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, parts)) if parts or not t else next(whole) for t, parts in zip(texts, cut)]
 
 
 @cache
