@@ -7,7 +7,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -651,17 +651,19 @@ def shap_dot_plot(spark, sf_dir):
     valued = customers.select("*", *[c.alias(f"phi_{n}") for n, c in explain.linear_shap(customers, LINEAR).items()])
     rows = workspace.stored(valued, "customers")
     dots = workspace.stored(explain.dot_plot(rows, columns, phi, bins=20), "dots")
-    exact = []
+    exact, n = [], rows.count()
     for name in LINEAR:
-        high = dots.where(F.col("feature") == name).select(F.col("bin").alias("b"), "high", "low")
-        up_to = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        ends = dots.where(F.col("feature") == name).withColumn("up_to", F.sum("rows").over(up_to))  # 20 rows
-        ranked = rows.select(phi[name].alias("phi")).join(F.broadcast(high), F.col("phi") <= F.col("high")).groupBy("b").count()
-        found = ends.join(ranked, F.col("bin") == F.col("b"))
-        share = 1.0 / rows.count()
+        mine = dots.where(F.col("feature") == name)
+        ends = sorted((r["bin"], r["high"], r["rows"]) for r in mine.collect())  # at most 20 rows
+        ranked = rows.agg(*[F.count_if(F.col(f"phi_{name}") <= F.lit(high)).alias(f"r{b}") for b, high, _ in ends])
         # A bin ends at its quantile, and with it all rows of that very contribution.
-        close = (F.col("up_to") == F.col("count")) & (F.col("count") * share >= (F.col("bin") + 1) / 20 - 0.01)
-        exact.append(found.agg(F.lit(name).alias("feature"), F.sum("rows").alias("rows"), (F.count("*") <= 20).alias("bounded"), F.bool_and(close).alias("ranks_within")))
+        up_to, close = 0, F.lit(True)
+        for b, _, size in ends:
+            up_to += size
+            close = close & (F.col(f"r{b}") == up_to) & (F.col(f"r{b}") >= n * ((b + 1) / 20 - 0.01))
+        exact.append(
+            ranked.select(F.lit(name).alias("feature"), F.lit(up_to).cast("long").alias("rows"), F.lit(len(ends) <= 20).alias("bounded"), close.alias("ranks_within"))
+        )
     return reduce(DataFrame.unionAll, exact)
 
 

@@ -30,6 +30,7 @@ def test_no_cross_join_and_no_row_udf(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "PythonUDF"):
         assert bad not in text
     assert ("MapInArrow" in text) == (name == "shap_fixed_trees")
+    assert ("ArrowEvalPython" in text) == (name == "role_by_rules")
 
 
 NARROW = [
