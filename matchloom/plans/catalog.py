@@ -372,7 +372,7 @@ def land_by_event_date(spark, sf_dir):
     root = workspace.scratch(spark, "land")
     matches = image.match_documents(spark, sf_dir)
     noted = matches.withColumn("note", F.concat(F.lit("n"), F.col("metadata.matchId")))
-    noted.select(F.to_json(F.struct(*noted.columns)).alias("value")).write.text(f"{root}/in")
+    noted.select(F.to_json(F.struct(*noted.columns)).alias("value")).write.text(f"{root}/in", compression=sinks.CODEC)
     sinks.land_matches(documents.read_whole(spark, f"{root}/in", multi_line=False), f"{root}/raw")
     schema = StructType([*schemas.MATCH.fields, StructField("note", StringType())])
     landed = documents.read_landed(spark, f"{root}/raw", schema)
@@ -389,7 +389,7 @@ def land_timelines(spark, sf_dir):
     """Whole timelines landed by the date of the run, twice; the last run's count."""
     root = workspace.scratch(spark, "land-timelines")
     made = image.timelines(spark, sf_dir)
-    made.select(F.to_json(F.struct(*made.columns)).alias("value")).write.text(f"{root}/in")
+    made.select(F.to_json(F.struct(*made.columns)).alias("value")).write.text(f"{root}/in", compression=sinks.CODEC)
     for _ in range(2):
         sinks.land_timelines(documents.read_whole(spark, f"{root}/in", multi_line=False), f"{root}/raw", "2024-05-01")
     landed = documents.read_landed(spark, f"{root}/raw", schemas.TIMELINE)

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from matchloom import domain, workspace
 from matchloom.functions.time import utc_date
 
+#: Compression of JSON that is written: Spark's readers tell it by the file name.
+CODEC = "gzip"
+
 
 def balanced(rows: DataFrame, *by: str) -> DataFrame:
     """Bring equal partition values together before a partitioned write.
@@ -66,7 +69,7 @@ def land_lines(documents: DataFrame, path: str) -> None:
     """
     rows = documents.select("value", "ds", F.lit(run_name()).alias("run"))
     with many_files(rows.sparkSession):
-        balanced(rows, "ds").write.mode("append").partitionBy("ds", "run").text(path)
+        balanced(rows, "ds").write.mode("append").partitionBy("ds", "run").text(path, compression=CODEC)
 
 
 def with_event_date(documents: DataFrame) -> DataFrame:

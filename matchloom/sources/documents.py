@@ -44,8 +44,10 @@ def read_whole(spark: SparkSession, path: str | list[str], *, multi_line: bool =
     ``value`` has every field of the document; only white space and the order of fields may
     differ. Text that isn't JSON has null in all columns but ``raw``.
     """
-    text = spark.read.text(path, wholetext=multi_line)
-    document = F.try_parse_json("value")
+    # Out of an explode the parsed document is a column: filters and fields don't parse it again.
+    parsed = F.explode(F.array(F.try_parse_json("value"))).alias("document")
+    text = spark.read.text(path, wholetext=multi_line).select("value", parsed)
+    document = F.col("document")
     return text.select(
         F.try_variant_get(document, "$.metadata.matchId", "string").alias("matchId"),
         F.try_variant_get(document, "$.info.gameStartTimestamp", "long").alias("start"),
@@ -105,7 +107,8 @@ def read_landed(
 
     Of a match that several runs landed the last run's document counts; documents without a
     match id all stay. ``days`` prunes the folders. Folders are listed by a fixed number of
-    tasks, not by one task per day.
+    tasks, not by one task per day. Days that one run landed have nothing to choose from and are
+    read once.
     """
     with workspace.conf(
         spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=LISTERS
@@ -114,6 +117,12 @@ def read_landed(
     if days is not None:
         rows = rows.where(F.col("ds").isin(list(days)))
     match = F.col("metadata.matchId")
+    dated = rows.where(F.col("ds").isNotNull() | match.isNull())
+    chosen = days_of_several_runs(rows)
+    if not chosen:
+        return dated.drop("run")
+    several = F.coalesce(F.col("ds").cast("string").isin(chosen), F.lit(False))
+    alone, rows = dated.where(~several).drop("run"), rows.where(several)
     # Narrow rows decide; documents are only filtered.
     last = (
         rows.select(match.alias("_id"), "ds", "run").where("_id is not null")
@@ -121,7 +130,16 @@ def read_landed(
     )
     same = (match == F.col("_id")) & (F.col("ds") == F.col("_ds")) & (F.col("run") == F.col("_run"))
     named = rows.join(last, same, "left_semi")
-    return named.unionByName(rows.where(match.isNull())).drop("run")
+    return named.unionByName(rows.where(match.isNull())).drop("run").unionByName(alone)
+
+
+def days_of_several_runs(landed: DataFrame) -> list[str]:
+    """Days with files below more than one ``run=`` folder, by the files' paths."""
+    runs: dict[str, set[str]] = {}
+    for path in landed.inputFiles():
+        folders = dict(part.split("=", 1) for part in path.split("/")[:-1] if "=" in part)
+        runs.setdefault(folders.get("ds", ""), set()).add(folders.get("run", ""))
+    return sorted(day for day, names in runs.items() if len(names) > 1)
 
 
 def read_league(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
