@@ -73,7 +73,7 @@ def flatten_all_fields(spark, sf_dir):
         "info.participants", lambda p: p.withField("note", F.concat(F.lit("n"), p["participantId"].cast("string")))
     )
     sent = matches.withColumn("info", F.col("info").withField("participants", noted))
-    sent.select(F.to_json(F.struct(*sent.columns)).alias("value")).write.text(f"{root}/in")
+    sent.select(F.to_json(F.struct(*sent.columns)).alias("value")).write.text(f"{root}/in", compression=sinks.CODEC)
     participant = documents.all_participant_fields(spark, f"{root}/in")
     found = documents.read_matches(spark, f"{root}/in", participant, multi_line=False)
     start = time.utc_date(F.col("info.gameStartTimestamp"))
