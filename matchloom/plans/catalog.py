@@ -109,12 +109,16 @@ def write_arrays(values: DataFrame, path: str) -> None:
     """Documents (``part``, ``value``) as files of several lines: an array of the documents of each part."""
     listed = values.groupBy("part").agg(F.collect_list("value").alias("values"))  # parts are small
     text = F.concat(F.lit("[\n  "), F.array_join("values", ",\n  "), F.lit("\n]"))
-    listed.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    listed.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path, compression=sinks.CODEC)
 
 
-def part_of(match: Column) -> Column:
-    """256 keys of matches in a row."""
-    return F.floor(F.substring_index(match, "_", -1).cast("long") / 256)
+#: Keys of matches whose documents are one file of several lines: some MB. A file costs time whatever its size.
+FILE_KEYS = 4096
+
+
+def part_of(match: Column, keys: int = FILE_KEYS) -> Column:
+    """So many keys of matches in a row."""
+    return F.floor(F.substring_index(match, "_", -1).cast("long") / keys)
 
 
 @query
@@ -805,12 +809,12 @@ def stream_exact_counts(spark, sf_dir):
 def stream_ingest_new(spark, sf_dir):
     """Match documents in two drops; the third run finds nothing new."""
     root = workspace.scratch(spark, "ingest")
-    matches = image.match_documents(spark, sf_dir)
+    matches = workspace.stored(image.match_documents(spark, sf_dir), "documents")
     start = time.utc_date(F.col("info.gameStartTimestamp"))
     cut = F.lit("1998-01-01").cast("date")
     for drop in (matches.where(start < cut), matches.where(start >= cut), None):
         if drop is not None:
-            drop.write.mode("append").json(f"{root}/in")
+            drop.write.mode("append").json(f"{root}/in", compression=sinks.CODEC)
         found = flatten.flatten_players(gold.new_documents(spark, f"{root}/in"), start)
         gold.drain(gold.parquet_sink(found, f"{root}/out", f"{root}/checkpoint", (), gold.DRAIN))
     return spark.read.parquet(f"{root}/out").select("matchId", "participantId", "goldEarned", "ds")
@@ -829,10 +833,13 @@ def stream_ingest_whole(spark, sf_dir):
     value = F.to_json(F.struct(*sent.columns))
     odd = F.substring("metadata.matchId", 3, 20).cast("long") % 3 == 0
     strange = F.when(odd, F.regexp_replace(value, '"kills":([0-9]+)', '"kills":"k$1"')).otherwise(value)
-    lines = workspace.stored(sent.select(part_of(F.col("metadata.matchId")).alias("part"), strange.alias("value")), "documents")
+    match = F.col("metadata.matchId")
+    lines = workspace.stored(
+        sent.select(part_of(match).alias("part"), (part_of(match, 256) % 2).alias("parity"), strange.alias("value")), "documents"
+    )
     for parity in (0, 1, None):
         if parity is not None:
-            drop = lines.where(F.col("part") % 2 == parity)
+            drop = lines.where(F.col("parity") == parity)
             write_arrays(drop, f"{root}/drop={parity}")
         found = streamed.whole_players(streamed.whole_documents(spark, f"{root}/drop=*"))
         gold.drain(gold.parquet_sink(found, f"{root}/out", f"{root}/checkpoint", (), gold.DRAIN))
