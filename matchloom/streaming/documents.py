@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 from matchloom.functions import time
 
 
-def documents_in(text: Column) -> Column:
-    """The documents of a file's text as an array of variants; null if it isn't JSON, or blank."""
-    parsed = F.when(text.rlike(r"\S"), F.try_parse_json(text))
+def parsed(text: Column) -> Column:
+    """A file's text as a variant; null if it isn't JSON, or blank."""
+    return F.when(text.rlike(r"\S"), F.try_parse_json(text))
+
+
+def documents_in(parsed: Column) -> Column:
+    """The documents of a parsed file as an array of variants; null without one."""
     return F.coalesce(F.try_variant_get(parsed, "$", "array<variant>"), F.when(parsed.isNotNull(), F.array(parsed)))
 
 
@@ -31,12 +35,14 @@ def whole_documents(spark: SparkSession, path: str, max_files: int | None = None
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     texts = reader.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    listed = texts.select("value", "file", documents_in(F.col("value")).alias("documents"))
+    # Out of an explode the parsed file is a column, and is parsed once.
+    once = texts.select("value", "file", F.explode(F.array(parsed(F.col("value")))).alias("parsed"))
+    listed = once.select("value", "file", documents_in(F.col("parsed")).alias("documents"))
     # An empty array has no documents; a text that isn't JSON has one row.
     each = F.when(F.col("documents").isNull(), F.array(F.lit(None).cast("variant"))).otherwise(F.col("documents"))
-    rows = listed.select(
-        F.explode(each).alias("document"), "file", F.when(F.col("documents").isNull(), F.coalesce("value", F.lit(""))).alias("raw")
-    )
+    raw = F.when(F.col("documents").isNull(), F.coalesce("value", F.lit("")))
+    # Neither the text nor the array goes along with each of its documents.
+    rows = listed.select(each.alias("each"), "file", raw.alias("raw")).select(F.explode("each").alias("document"), "file", "raw")
     return rows.select(
         F.try_variant_get("document", "$.metadata.matchId", "string").alias("matchId"),
         F.try_variant_get("document", "$.info.gameStartTimestamp", "long").alias("start"),
@@ -47,12 +53,14 @@ def whole_documents(spark: SparkSession, path: str, max_files: int | None = None
 def whole_players(documents: DataFrame) -> DataFrame:
     """A row per participant: ``matchId``, ``gameDuration``, ``ds``, ``player`` (a variant with every field)."""
     listed = F.try_variant_get("document", "$.info.participants", "array<variant>")
-    return documents.select(
+    # Taken once of a document, which then doesn't go along with each of its players.
+    taken = documents.select(
         "matchId",
         F.try_variant_get("document", "$.info.gameDuration", "long").alias("gameDuration"),
         time.utc_date(F.col("start")).alias("ds"),
-        F.explode(listed).alias("player"),
+        listed.alias("players"),
     )
+    return taken.select("matchId", "gameDuration", "ds", F.explode("players").alias("player"))
 
 
 def typed(players: DataFrame, fields: Mapping[str, str]) -> DataFrame:

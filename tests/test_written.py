@@ -1,13 +1,16 @@
 """What landing, flattening and ingesting write, shuffle and read."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from matchloom import schemas, workspace
-from matchloom.operators import skew
+from matchloom.operators import boosting, skew
 from matchloom.plans import catalog
 from matchloom.sinks import tables
 from matchloom.sources import documents
+from matchloom.streaming import documents as streamed
 from tests.conftest import rows
 
 
@@ -84,9 +87,9 @@ def test_totals_without_a_hot_group_shuffle_rows_once(spark):
     data = spark.createDataFrame([(1, 2), (1, 3), (None, 4), (None, 5)], "k int, v int")
     made = skew.with_group_totals(data, ["k"], {"total": F.sum("v")}, 2)
     assert rows(made) == [(1, 2, 5), (1, 3, 5), (None, 4, 9), (None, 5, 9)]
-    plan = made._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Join" not in plan
-    assert "Join" in skew.with_group_totals(data, ["k"], {"total": F.sum("v")}, 1)._jdf.queryExecution().toString()
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "Join" not in plan and "Aggregate" not in plan
+    assert "Join" in skew.with_group_totals(data, ["k"], {"total": F.sum("v")}, 1)._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_a_document_is_parsed_once(spark, tmp_path):
@@ -96,3 +99,33 @@ def test_a_document_is_parsed_once(spark, tmp_path):
     assert rows(read, "start", "raw") == sorted([(5, None), (None, "{no")], key=repr)
     dated = tables.with_event_date(read)
     assert dated._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_a_streamed_file_is_parsed_once_and_not_copied_to_each_document(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    found = streamed.whole_documents(SimpleNamespace(readStream=spark.read), str(tmp_path / "in"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+    last = next(line for line in plan.splitlines() if "Generate explode(each" in line)
+    assert "value#" not in last.split("Generate")[1]
+
+
+def test_a_document_does_not_go_along_with_its_players(spark):
+    found = spark.sql("""SELECT 'M_1' AS matchId, 5L AS start, parse_json(v) AS document FROM VALUES
+        ('{"info":{"gameDuration":7,"participants":[{"a":1},{"a":2}]}}'), ('{"info":{"participants":[]}}') AS t(v)""")
+    made = streamed.whole_players(found)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant_get(document" not in plan.split("Generate")[0]
+    assert rows(made.select("matchId", "gameDuration", F.to_json("player"))) == [("M_1", 7, '{"a":1}'), ("M_1", 7, '{"a":2}')]
+
+
+def test_features_of_few_values_need_no_sketch(spark, monkeypatch):
+    data = spark.range(100).selectExpr("id % 3 AS a", "double(id) AS b", "IF(id = 0, double('NaN'), id % 5) AS c")
+    expected = {f.name: f.cuts for f in boosting.numeric_features(data, ["a", "b", "c"], 10)}
+    assert expected["a"] == (0.0, 1.0) and expected["c"] == (0.0, 1.0, 2.0, 3.0) and 5 < len(expected["b"]) < 10
+    sketched = []
+    plain = F.percentile_approx
+    monkeypatch.setattr(boosting.F, "percentile_approx", lambda c, *a: sketched.append(c) or plain(c, *a))
+    boosting.numeric_features(data, ["a", "b", "c"], 10)
+    assert sketched == ["`b`"]
+    assert boosting.numeric_features(data, ["a", "c"], 10)[0].cuts == (0.0, 1.0) and sketched == ["`b`"]
