@@ -157,8 +157,8 @@ def commonest(sketches: np.ndarray) -> np.ndarray:
     size = len(ordered)
     new = np.ones(ordered.shape, bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    place = np.arange(size)[:, None]
-    began = np.maximum.accumulate(np.where(new, place, 0), axis=0)
+    place = np.arange(size, dtype=np.int32)[:, None]
+    began = np.maximum.accumulate(np.where(new, place, np.int32(0)), axis=0)
     return np.take_along_axis(ordered, (place - began).argmax(0)[None], 0)[0]
 
 
@@ -230,8 +230,12 @@ class Group:
 
     def every(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All links that join components, but for those that earlier ones joined already."""
-        pairs = [(i, k) for i, j in self.likely_here() for k in j.tolist()]
-        used = sorted({x for pair in pairs for x in pair})
+        # A block can have millions of likely pairs: four bytes each here, a hundred as tuples.
+        pairs = [(i, j.astype(np.int32)) for i, j in self.likely_here()]
+        in_pairs = np.zeros(len(self.ids), bool)
+        for i, j in pairs:
+            in_pairs[i] = in_pairs[j] = True
+        used = np.flatnonzero(in_pairs).tolist()
         held: dict[int, np.ndarray] = {}
         for begin in range(0, len(used), 256):
             some = used[begin : begin + 256]
@@ -244,7 +248,7 @@ class Group:
             return label
 
         out = []
-        for i, j in pairs:
+        for i, j in ((i, k) for i, later in pairs for k in later.tolist()):
             a, b = root(int(self.label[i])), root(int(self.label[j]))
             if a != b:
                 both = shared(held[i], held[j])
